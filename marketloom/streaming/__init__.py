@@ -1,0 +1 @@
+"""Nothing is streamed: the scope is batch extracts with one extract date, so this package is empty."""
