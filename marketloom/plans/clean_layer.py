@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -122,20 +122,40 @@ def checkout_sessions(raw_sessions: DataFrame, rules: Rules = DEFAULT_RULES) ->
     return c.drop_exact_duplicates(flagged)
 
 
-def build(raw: Mapping[str, DataFrame], rules: Rules = DEFAULT_RULES, keep=lambda name, df: df) -> dict[str, DataFrame]:
-    """All nine clean tables. ``keep(name, df)`` may store a table and hand back the stored one."""
-    out: dict[str, DataFrame] = {}
+# What each clean table is built from; an order in which all can be built.
+NEEDS = {
+    "city_map": (), "customer_id_map": (), "customers": ("customer_id_map", "city_map"), "sellers": (), "products": (),
+    "orders": ("customer_id_map", "customers", "city_map"), "order_items": ("products", "orders"),
+    "returns": ("order_items",), "checkout_sessions": (),
+}
+
+
+def with_needs(tables: Iterable[str]) -> set[str]:
+    """The tables and everything they are built from."""
+    wanted = set(tables)
+    for name in reversed(NEEDS):
+        if name in wanted:
+            wanted.update(NEEDS[name])
+    return wanted
 
-    def add(name, df):
-        out[name] = keep(name, df)
-
-    add("city_map", lookups.city_map(raw["orders"].sparkSession))
-    add("customer_id_map", customer_id_map(raw["customers"], rules))
-    add("customers", customers(raw["customers"], out["customer_id_map"], out["city_map"]))
-    add("sellers", sellers(raw["sellers"]))
-    add("products", products(raw["products"]))
-    add("orders", orders(raw["orders"], out["customer_id_map"], out["customers"], out["city_map"], rules))
-    add("order_items", order_items(raw["order_items"], out["products"], out["orders"], rules))
-    add("returns", returns(raw["returns"], out["order_items"]))
-    add("checkout_sessions", checkout_sessions(raw["checkout_sessions"], rules))
+
+def build(raw: Mapping[str, DataFrame], rules: Rules = DEFAULT_RULES, keep=lambda name, df: df,
+          tables: Iterable[str] = tuple(NEEDS)) -> dict[str, DataFrame]:
+    """Clean tables by name. ``keep(name, df)`` may store a table and hand back the stored one."""
+    out: dict[str, DataFrame] = {}
+    makers = {
+        "city_map": lambda: lookups.city_map(raw["orders"].sparkSession),
+        "customer_id_map": lambda: customer_id_map(raw["customers"], rules),
+        "customers": lambda: customers(raw["customers"], out["customer_id_map"], out["city_map"]),
+        "sellers": lambda: sellers(raw["sellers"]),
+        "products": lambda: products(raw["products"]),
+        "orders": lambda: orders(raw["orders"], out["customer_id_map"], out["customers"], out["city_map"], rules),
+        "order_items": lambda: order_items(raw["order_items"], out["products"], out["orders"], rules),
+        "returns": lambda: returns(raw["returns"], out["order_items"]),
+        "checkout_sessions": lambda: checkout_sessions(raw["checkout_sessions"], rules),
+    }
+    wanted = with_needs(tables)
+    for name in NEEDS:
+        if name in wanted:
+            out[name] = keep(name, makers[name]())
     return out

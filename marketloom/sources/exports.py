@@ -23,7 +23,8 @@ def export_view(df: DataFrame, folder: str, name: str) -> str:
     """
     path = f"{folder.rstrip('/')}/{name}"
     plain = plain_types(df)
-    plain.orderBy(*plain.columns).write.mode("overwrite").csv(path, header=True, nullValue="", emptyValue='""')
+    plain.orderBy(*plain.columns).write.mode("overwrite").csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return path
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.errors import AnalysisException
 
 # Columns of the seven extracts, all text.
 RAW_COLUMNS = {
@@ -45,6 +45,6 @@ class MissingExportError(FileNotFoundError):
 def read_export(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
     """An exported result, with its known types."""
     try:
-        return spark.read.csv(f"{folder.rstrip('/')}/{name}", schema=schema, header=True, mode="FAILFAST")
+        return spark.read.csv(f"{folder.rstrip('/')}/{name}", schema=schema, header=True, escape='"', mode="FAILFAST")
     except AnalysisException as missing:
         raise MissingExportError(f"{name} is not in {folder}; run the rebuild first") from missing
