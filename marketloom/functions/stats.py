@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.functions.text import as_col
 
@@ -14,10 +15,13 @@ from marketloom.functions.text import as_col
 Z_95 = 1.96
 
 
-@F.pandas_udf("double")
-def _erfc(x: pd.Series) -> pd.Series:
-    # Spark has no erf; this runs on a handful of aggregated rows only.
-    return x.map(math.erfc, na_action="ignore").astype("float64")
+def _erfc(x: Column) -> Column:
+    # Spark has no erf; this runs on a handful of aggregated rows only. The function is local, so
+    # that it travels to the workers by value and they need no copy of this package.
+    def erfc(values: pd.Series) -> pd.Series:
+        return values.map(math.erfc, na_action="ignore").astype("float64")
+
+    return F.pandas_udf(erfc, T.DoubleType())(x)
 
 
 def normal_sf(z: Column | str) -> Column:

@@ -28,13 +28,14 @@ def spread_join(child: DataFrame, parent: DataFrame, key: str, spread_by: str, h
     heavy = (child.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
              .where((F.col("_n") > rows_per_task) & F.col(key).isNotNull())
              .select(key, F.lit(True).alias("_heavy")))
+    zero = F.lit(0).cast("bigint")
     dealt = F.pmod(F.xxhash64(spread_by), F.lit(ways))
     is_heavy = F.coalesce("_heavy", F.lit(False))
     # NULL keys match no parent, so they are dealt out as well.
     left = (child.join(F.broadcast(heavy), key, "left")
-            .withColumn("_deal", F.when(is_heavy | F.col(key).isNull(), dealt).otherwise(F.lit(0)))
+            .withColumn("_deal", F.when(is_heavy | F.col(key).isNull(), dealt).otherwise(zero))
             .drop("_heavy"))
-    repeats = F.when(is_heavy, F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
+    repeats = F.when(is_heavy, F.sequence(zero, F.lit(ways - 1).cast("bigint"))).otherwise(F.array(zero))
     right = (parent.join(F.broadcast(heavy), key, "left")
-             .withColumn("_deal", F.explode(repeats).cast("bigint")).drop("_heavy"))
+             .withColumn("_deal", F.explode(repeats)).drop("_heavy"))
     return left.join(right, [key, "_deal"], how).drop("_deal")

@@ -20,7 +20,8 @@ from marketloom.rules import DEFAULT_RULES, Rules
 
 # --- shared measures --------------------------------------------------------------------------
 
-ROWS = F.count(F.lit(1))
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _cod() -> Column:
@@ -32,7 +33,7 @@ def _shipped() -> Column:
 
 
 def cod_share() -> Column:
-    return percent(F.count_if(_cod()), ROWS).alias("cod_share_pct")
+    return percent(F.count_if(_cod()), _rows()).alias("cod_share_pct")
 
 
 def rto_rate() -> Column:
@@ -56,31 +57,31 @@ def mean_net_revenue() -> Column:
 
 def headline_kpis(fact: DataFrame) -> DataFrame:
     """One row."""
-    return fact.agg(ROWS.alias("orders"), F.count_distinct("customer_id").alias("ordering_customers"),
+    return fact.agg(_rows().alias("orders"), F.count_distinct("customer_id").alias("ordering_customers"),
                     F.sum("gmv").alias("gmv"), F.sum("net_revenue").alias("net_revenue"),
-                    rounded_mean(F.sum("gmv"), ROWS, 0).alias("avg_order_value"), cod_share(),
+                    rounded_mean(F.sum("gmv"), _rows(), 0).alias("avg_order_value"), cod_share(),
                     rto_rate().alias("rto_rate_pct"), late_rate().alias("late_delivery_pct"))
 
 
 def monthly_kpis(fact: DataFrame) -> DataFrame:
     """Change is against the previous month present, so the first row has none."""
     monthly = fact.groupBy("order_month").agg(
-        ROWS.alias("orders"), F.count_if(is_status(DELIVERED)).alias("delivered_orders"),
+        _rows().alias("orders"), F.count_if(is_status(DELIVERED)).alias("delivered_orders"),
         F.sum("gmv").alias("gmv"), F.sum("net_revenue").alias("net_revenue"),
         F.count_if(F.col("customer_order_seq") == 1).alias("new_customers"),
-        rounded_mean(F.sum("gmv"), ROWS, 0).alias("avg_order_value"), cod_share())
+        rounded_mean(F.sum("gmv"), _rows(), 0).alias("avg_order_value"), cod_share())
     before = F.lag("net_revenue").over(Window.orderBy("order_month"))
     return monthly.withColumn("net_revenue_mom_pct", percent(F.col("net_revenue") - before, before))
 
 
 def daily_orders(fact: DataFrame) -> DataFrame:
     """Days without orders have no row."""
-    return fact.groupBy("order_date").agg(ROWS.alias("orders"), F.sum("gmv").alias("gmv"))
+    return fact.groupBy("order_date").agg(_rows().alias("orders"), F.sum("gmv").alias("gmv"))
 
 
 def share_within(fact: DataFrame, period: str, column: str) -> DataFrame:
     """Orders per label and their share of the period."""
-    counted = fact.groupBy(period, column).agg(ROWS.alias("orders"))
+    counted = fact.groupBy(period, column).agg(_rows().alias("orders"))
     return counted.withColumn("share_pct", percent("orders", F.sum("orders").over(Window.partitionBy(period))))
 
 
@@ -92,7 +93,7 @@ def city_tier_growth(fact: DataFrame) -> DataFrame:
     """Half-years by tier; orders without a tier are left out before shares are taken."""
     keyed = fact.where(F.col("city_tier").isNotNull()).groupBy(
         F.year("order_date").alias("order_year"), half_of_year("order_date").alias("half"), "city_tier")
-    counted = keyed.agg(ROWS.alias("orders"), cod_share())
+    counted = keyed.agg(_rows().alias("orders"), cod_share())
     whole = F.sum("orders").over(Window.partitionBy("order_year", "half"))
     return counted.select("order_year", "half", "city_tier", "orders",
                           percent("orders", whole).alias("order_share_pct"), "cod_share_pct")
@@ -103,8 +104,8 @@ def city_tier_growth(fact: DataFrame) -> DataFrame:
 def rto_by(fact: DataFrame, keys: Sequence[Column | str], counted: bool = True) -> DataFrame:
     """Refused share of shipped orders by any keys; NULL keys form a group."""
     refused = F.count_if(F.col("is_rto"))
-    measures = [ROWS.alias("shipped_orders")] + ([refused.alias("rto_orders")] if counted else [])
-    return fact.where(_shipped()).groupBy(*keys).agg(*measures, percent(refused, ROWS).alias("rto_rate_pct"))
+    measures = [_rows().alias("shipped_orders")] + ([refused.alias("rto_orders")] if counted else [])
+    return fact.where(_shipped()).groupBy(*keys).agg(*measures, percent(refused, _rows()).alias("rto_rate_pct"))
 
 
 def rto_drivers(fact: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -134,7 +135,7 @@ def courier_scorecard(fact: DataFrame) -> DataFrame:
     """E8."""
     mean_days = rounded_mean(F.sum("delivery_days"), F.count("delivery_days"))
     return fact.groupBy("courier", "city_tier").agg(
-        ROWS.alias("orders"), mean_days.alias("avg_delivery_days"), late_rate().alias("late_rate_pct"),
+        _rows().alias("orders"), mean_days.alias("avg_delivery_days"), late_rate().alias("late_rate_pct"),
         rto_rate().alias("rto_rate_pct"))
 
 
@@ -142,14 +143,14 @@ def delivery_monthly(fact: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame
     """One courier's share beside overall lateness and refusals."""
     name = f"{rules.watched_courier.lower().replace(' ', '_')}_share_pct"
     watched = F.count_if(F.col("courier") == rules.watched_courier)
-    return fact.groupBy("order_month").agg(percent(watched, ROWS).alias(name), late_rate().alias("late_rate_pct"),
+    return fact.groupBy("order_month").agg(percent(watched, _rows()).alias(name), late_rate().alias("late_rate_pct"),
                                            rto_rate().alias("rto_rate_pct"))
 
 
 def worst_groups(fact: DataFrame, key: str, min_n: int = 500, n: int = 5) -> DataFrame:
     """Groups with the worst late rate among those with enough delivered orders."""
     delivered = fact.where(is_status(DELIVERED)).groupBy(key).agg(
-        ROWS.alias("delivered_orders"), late_rate().alias("late_rate_pct"))
+        _rows().alias("delivered_orders"), late_rate().alias("late_rate_pct"))
     return (delivered.where(F.col("delivered_orders") >= min_n)
             .orderBy(F.desc_nulls_last("late_rate_pct"), F.asc(key)).limit(n))
 
@@ -169,13 +170,13 @@ def first_order_experience(dim: DataFrame) -> DataFrame:
              .when((status == DELIVERED) & late, "Delivered late")
              .when((status == DELIVERED) & ~late, "Delivered on time"))
     known = dim.where(F.col("repeat_within_90d").isNotNull() & label.isNotNull())
-    return known.groupBy(label.alias("first_order_experience")).agg(ROWS.alias("customers"), repeat_rate())
+    return known.groupBy(label.alias("first_order_experience")).agg(_rows().alias("customers"), repeat_rate())
 
 
 def repeat_by_late(dim: DataFrame) -> DataFrame:
     """Repeat rate by whether the first order was late."""
     known = dim.where(F.col("repeat_within_90d").isNotNull() & F.col("first_order_late").isNotNull())
-    return known.groupBy("first_order_late").agg(ROWS.alias("customers"), repeat_rate())
+    return known.groupBy("first_order_late").agg(_rows().alias("customers"), repeat_rate())
 
 
 def cohort_retention(fact: DataFrame, dim: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -189,8 +190,8 @@ def cohort_retention(fact: DataFrame, dim: DataFrame, rules: Rules = DEFAULT_RUL
     offset = months_between_buckets("cohort_month", "order_month").alias("months_since_first")
     cells = (active.join(cohorts, "customer_id").select("cohort_month", offset)
              .where(F.col("months_since_first").between(0, rules.max_cohort_offset))
-             .groupBy("cohort_month", "months_since_first").agg(ROWS.alias("active_customers")))
-    sizes = cohorts.groupBy("cohort_month").agg(ROWS.alias("cohort_size"))
+             .groupBy("cohort_month", "months_since_first").agg(_rows().alias("active_customers")))
+    sizes = cohorts.groupBy("cohort_month").agg(_rows().alias("cohort_size"))
     return cells.join(sizes, "cohort_month").select(
         "cohort_month", "months_since_first", "cohort_size", "active_customers",
         percent("active_customers", "cohort_size").alias("retention_pct"))
@@ -206,14 +207,14 @@ def acquisition_quality(dim: DataFrame) -> DataFrame:
     label = F.when(F.col("acquired_in_mega_sale"), "First order used a mega-sale code").otherwise(
         "First order at any other time")
     return dim.where(F.col("first_order_date").isNotNull()).groupBy(label.alias("acquisition")).agg(
-        ROWS.alias("customers"), repeat_rate(), rounded_mean(F.sum("orders"), ROWS).alias("avg_orders"),
+        _rows().alias("customers"), repeat_rate(), rounded_mean(F.sum("orders"), _rows()).alias("avg_orders"),
         mean_net_revenue())
 
 
 def channel_quality(dim: DataFrame) -> DataFrame:
     """E13."""
     return dim.where(F.col("first_order_date").isNotNull()).groupBy("acquisition_channel").agg(
-        ROWS.alias("customers"), repeat_rate(), mean_net_revenue())
+        _rows().alias("customers"), repeat_rate(), mean_net_revenue())
 
 
 def rfm_base(fact: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
@@ -244,8 +245,8 @@ def rfm(fact: DataFrame, rules: Rules = DEFAULT_RULES, rows_per_task: int = ROWS
 def rfm_summary(rfm_view: DataFrame) -> DataFrame:
     """The revenue share is over the six segments."""
     grouped = rfm_view.groupBy("segment").agg(
-        ROWS.alias("customers"), rounded_mean(F.sum("recency_days"), ROWS, 0).alias("avg_recency_days"),
-        rounded_mean(F.sum("frequency"), ROWS).alias("avg_delivered_orders"), F.sum("monetary").alias("net_revenue"))
+        _rows().alias("customers"), rounded_mean(F.sum("recency_days"), _rows(), 0).alias("avg_recency_days"),
+        rounded_mean(F.sum("frequency"), _rows()).alias("avg_delivered_orders"), F.sum("monetary").alias("net_revenue"))
     whole = F.sum("net_revenue").over(Window.partitionBy())
     return grouped.withColumn("revenue_share_pct", percent("net_revenue", whole))
 
@@ -265,13 +266,13 @@ def returns_by_category(items: DataFrame, products: DataFrame, fact: DataFrame,
     """
     categories = products.select("product_id", "category")
     sold = (_delivered_items(items.select("order_id", "product_id"), fact)
-            .groupBy("product_id").agg(ROWS.alias("n")).join(categories, "product_id")
+            .groupBy("product_id").agg(_rows().alias("n")).join(categories, "product_id")
             .groupBy("category").agg(F.sum("n").alias("items_delivered")))
 
     reasons = {name: F.count_if(F.col("return_reason") == reason) for name, reason in rules.return_reasons.items()}
     per_product = (returns.select("order_item_id", "return_reason", "refund_amount")
                    .join(items.select("order_item_id", "product_id"), "order_item_id").groupBy("product_id")
-                   .agg(ROWS.alias("items_returned"), *[n.alias(name) for name, n in reasons.items()],
+                   .agg(_rows().alias("items_returned"), *[n.alias(name) for name, n in reasons.items()],
                         F.sum("refund_amount").alias("refunded_value")))
     counts = ["items_returned", *reasons, "refunded_value"]
     returned = (per_product.join(categories, "product_id").groupBy("category")
@@ -290,7 +291,7 @@ def seller_returns(items: DataFrame, products: DataFrame, fact: DataFrame, retur
     item_level = _delivered_items(items.select("order_item_id", "order_id", "product_id"), fact).join(
         outcome, "order_item_id", "left")
     per_product = item_level.groupBy("product_id").agg(
-        ROWS.alias("items_delivered"), F.count("_back").alias("items_returned"),
+        _rows().alias("items_delivered"), F.count("_back").alias("items_returned"),
         F.count_if(F.col("_misdescribed")).alias("not_as_described_returns"))
     measures = ["items_delivered", "items_returned", "not_as_described_returns"]
     by_seller = (per_product.join(products.select("product_id", "seller_id", "category"), "product_id")
@@ -318,7 +319,7 @@ def flagged(seller_returns_view: DataFrame) -> DataFrame:
 def ab_test(sessions: DataFrame) -> DataFrame:
     """Revenue is NULL where no session had a value."""
     return sessions.groupBy("experiment_group", "device_type", "is_bot").agg(
-        ROWS.alias("sessions"), F.sum("completed_order").alias("orders"), F.sum("order_value").alias("revenue"))
+        _rows().alias("sessions"), F.sum("completed_order").alias("orders"), F.sum("order_value").alias("revenue"))
 
 
 def ordered(view: DataFrame, keys: Sequence[str]) -> DataFrame:
