@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,30 +15,38 @@ from marketloom.functions.text import as_col, blank_to_null
 
 @dataclass(frozen=True)
 class TextDate:
-    """A text layout: a LIKE shape that selects it and a rewrite of it to ISO order."""
+    """A text layout: the LIKE shape that selects it and where its parts start (1-based)."""
 
     shape: str
-    pattern: str
-    iso: str
+    year: int
+    month: int
+    day: int
+    clock: int | None = None
 
+    def to_iso(self, c: Column) -> Column:
+        date = F.concat_ws("-", c.substr(self.year, 4), c.substr(self.month, 2), c.substr(self.day, 2))
+        return date if self.clock is None else F.concat_ws(" ", date, c.substr(self.clock, 5))
 
-LEGACY_TIMESTAMP = TextDate("__/__/____ __:__", r"^(\d\d)/(\d\d)/(\d{4}) (\d\d:\d\d)$", "$3-$2-$1 $4:00")
-LEGACY_DATE = TextDate("__/__/____", r"^(\d\d)/(\d\d)/(\d{4})$", "$3-$2-$1")
 
-_ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
-_ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}( \d{2}:\d{2}(:\d{2})?)?$"
+LEGACY_TIMESTAMP = TextDate("__/__/____ __:__", year=7, month=4, day=1, clock=12)
+LEGACY_DATE = TextDate("__/__/____", year=7, month=4, day=1)
+
+# Casting alone would also take a bare year or a trailing zone, so the shape is asked for first.
+_ISO_DATE = "____-__-__"
+_ISO_TIMESTAMP = (_ISO_DATE + " __:__:__", _ISO_DATE + " __:__", _ISO_DATE)
 
 
 def safe_date(c: Column | str) -> Column:
     """ISO date text to date."""
-    text = blank_to_null(c)
-    return F.when(text.rlike(_ISO_DATE), text.try_cast("date"))
+    text = F.trim(as_col(c))
+    return F.when(text.like(_ISO_DATE), text.try_cast("date"))
 
 
 def safe_ts(c: Column | str) -> Column:
     """ISO date-time text to a zone-less timestamp, so no session time zone can shift it."""
-    text = blank_to_null(c)
-    return F.when(text.rlike(_ISO_TIMESTAMP), text.try_cast("timestamp_ntz"))
+    text = F.trim(as_col(c))
+    shaped = reduce(or_, [text.like(shape) for shape in _ISO_TIMESTAMP])
+    return F.when(shaped, text.try_cast("timestamp_ntz"))
 
 
 def safe_num(c: Column | str, kind: str) -> Column:
@@ -47,11 +57,10 @@ def safe_num(c: Column | str, kind: str) -> Column:
 def _mixed(c: Column | str, layouts: Sequence[TextDate], convert) -> Column:
     # The layout decides the conversion: a value that has a layout's shape but no valid
     # content is NULL and is not tried as ISO.
-    text = as_col(c)
-    out = F
-    for layout in layouts:
-        out = out.when(text.like(layout.shape), convert(F.regexp_replace(text, layout.pattern, layout.iso)))
-    return out.otherwise(convert(text))
+    out = convert(c)
+    for layout in reversed(layouts):
+        out = F.when(as_col(c).like(layout.shape), convert(layout.to_iso(as_col(c)))).otherwise(out)
+    return out
 
 
 def parse_mixed_ts(c: Column | str, layouts: Sequence[TextDate] = (LEGACY_TIMESTAMP,)) -> Column:

@@ -15,12 +15,14 @@ from marketloom.operators.ranking import ROWS_PER_TASK, largest_group
 
 
 def spread_join(child: DataFrame, parent: DataFrame, key: str, spread_by: str, how: str = "inner",
-                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                largest: int | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``child`` joined (inner or left) to ``parent``, which has at most one row per key.
 
-    ``spread_by`` is a column that tells children of one key apart.
+    ``spread_by`` is a column that tells children of one key apart. ``largest`` is a known upper
+    bound of the children per key; it is measured when not given.
     """
-    largest = largest_group(child, [key])
+    if largest is None:
+        largest = largest_group(child, [key])
     if largest <= rows_per_task:
         return child.join(parent, key, how)
 

@@ -12,6 +12,7 @@ from marketloom.functions.dates import to_day
 from marketloom.functions.parsing import parse_mixed_date, parse_mixed_ts, safe_date, safe_num, safe_ts
 from marketloom.functions.text import and_to_ampersand, map_labels, norm, null_if, strip_currency
 from marketloom.operators import cleaning as c
+from marketloom.operators.ranking import largest_group
 from marketloom.operators.skew import spread_join
 from marketloom.rules import DEFAULT_RULES, Rules
 
@@ -76,12 +77,14 @@ def orders(raw_orders: DataFrame, id_map: DataFrame, clean_customers: DataFrame,
     """B-T4: orders of real customers, pointed at the person, with a standard place.
 
     Only canonical accounts are people, so an account's person and home are joined to each other
-    first; the wide orders then shuffle once for both.
+    first; the wide orders then shuffle once for both. Cleaning only drops orders, so the raw ones
+    bound the largest account at the price of reading one column.
     """
     homes = id_map.join(clean_customers.select("customer_id", *[F.col(p).alias(f"_home_{p}") for p in PLACE]),
                         "customer_id", "left")
     accounts = homes.withColumnsRenamed({"customer_id": "_person", "raw_customer_id": "customer_id"})
-    linked = spread_join(parse_orders(raw_orders, rules), accounts, "customer_id", "order_id", "left")
+    linked = spread_join(parse_orders(raw_orders, rules), accounts, "customer_id", "order_id", "left",
+                         largest=largest_group(raw_orders, ["customer_id"]))
     placed = c.coalesce_with(c.standardise(linked, "shipping_city", cities), {p: f"_home_{p}" for p in PLACE})
     return placed.select("order_id", F.coalesce("_person", "customer_id").alias("customer_id"), "ordered_at",
                          "order_date", *PLACE, "payment_method", "payment_group", "promo_code", "courier",

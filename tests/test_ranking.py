@@ -80,7 +80,7 @@ def test_spread_join(spark, how, rows_per_task):
     child = skewed(spark)
     parent = spark.createDataFrame([("hot", 1)] + [(f"g{i}", i) for i in range(0, 500, 2)] + [("unused", 9)],
                                    "g string, p int")
-    got = spread_join(child, parent, "g", "id", how, rows_per_task)
+    got = spread_join(child, parent, "g", "id", how, rows_per_task=rows_per_task)
     want = child.join(parent, "g", how)
     assert set(got.columns) == set(want.columns)
     key = lambda r: (r.id, str(r.g), r.t, str(r.p))
