@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marketloom.operators.quality import gate
 from marketloom.plans import checks, clean_layer, mart, profile, reports, views
 from marketloom.rules import DEFAULT_RULES, Rules
-from marketloom.session import durable
+from marketloom.session import durable, run_at_once
 from marketloom.sources.exports import export_view, export_views
 from marketloom.sources.extracts import read_extracts
 from marketloom.sources.layers import Warehouse
@@ -37,7 +37,7 @@ def rebuild(spark: SparkSession, raw: str | Mapping[str, DataFrame], out: str, r
     house.ensure_layers()
     exports = f"{out.rstrip('/')}/exports"
     read = read_extracts(spark, raw) if isinstance(raw, str) else raw
-    stored = {t: house.write_layer(df, "raw", t) for t, df in read.items()}
+    stored = dict(zip(read, run_at_once(lambda item: house.write_layer(item[1], "raw", item[0]), read.items())))
 
     export_views(profile.build(stored, rules), exports)
 

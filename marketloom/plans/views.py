@@ -17,6 +17,7 @@ from marketloom.functions.rates import percent, rounded_mean, share_of
 from marketloom.operators.modelling import DELIVERED, SHIPPED, is_status
 from marketloom.operators.ranking import ROWS_PER_TASK, ntile_scores
 from marketloom.rules import DEFAULT_RULES, Rules
+from marketloom.session import durable
 
 # --- shared measures --------------------------------------------------------------------------
 
@@ -294,8 +295,10 @@ def seller_returns(items: DataFrame, products: DataFrame, fact: DataFrame, retur
         _rows().alias("items_delivered"), F.count("_back").alias("items_returned"),
         F.count_if(F.col("_misdescribed")).alias("not_as_described_returns"))
     measures = ["items_delivered", "items_returned", "not_as_described_returns"]
-    by_seller = (per_product.join(products.select("product_id", "seller_id", "category"), "product_id")
-                 .groupBy("seller_id", "category").agg(*[F.sum(c).alias(c) for c in measures]))
+    # Read twice below, and the pass over all items behind it should not be: one row per seller
+    # and category is kept.
+    by_seller = durable(per_product.join(products.select("product_id", "seller_id", "category"), "product_id")
+                        .groupBy("seller_id", "category").agg(*[F.sum(c).alias(c) for c in measures]))
     by_category = by_seller.groupBy("category").agg(
         F.sum("items_returned").alias("_returned"), F.sum("items_delivered").alias("_delivered"))
 

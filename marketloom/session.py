@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,9 +53,23 @@ def durable(df: DataFrame) -> DataFrame:
     """Evaluate once and keep the rows on shared storage, so that a lost executor changes nothing.
 
     Needed wherever a value is tied to where a row happened to lie (its place in a sort) or where
-    one result feeds several later passes.
+    one result feeds several later passes. Use ``stored`` for wide tables.
     """
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(durable_root(spark))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, label: str = "table") -> DataFrame:
+    """Like ``durable`` but as Parquet: later passes read only the columns they need, and the
+    optimizer knows the size of what it joins."""
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_at_once(job: Callable, inputs: Iterable, at_once: int = 4) -> list:
+    """Submit independent Spark jobs from a few driver threads; results in input order."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(job, inputs))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketloom.session import run_at_once
+
 
 def plain_types(df: DataFrame) -> DataFrame:
     """Flags as 0 and 1; everything else as it is."""
@@ -28,5 +30,6 @@ def export_view(df: DataFrame, folder: str, name: str) -> str:
     return path
 
 
-def export_views(views: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
-    return {name: export_view(df, folder, name) for name, df in views.items()}
+def export_views(views: Mapping[str, DataFrame], folder: str, at_once: int = 4) -> dict[str, str]:
+    """Export many views, a few jobs at a time: most are small and would leave the cluster idle."""
+    return dict(zip(views, run_at_once(lambda item: export_view(item[1], folder, item[0]), views.items(), at_once)))

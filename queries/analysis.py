@@ -113,7 +113,7 @@ RETENTION = f"""retention AS (
 
 
 def retention(spark, folder):
-    fact = star.numbered_facts(spark, folder)
+    fact = star.kept_facts(spark, folder)
     return views.cohort_retention(fact, star.dimension(spark, folder, fact), R)
 
 

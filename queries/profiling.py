@@ -9,7 +9,7 @@ from marketloom.functions.parsing import LEGACY_TIMESTAMP
 from marketloom.operators import profiling as p
 from marketloom.plans import checks, mart, profile
 from marketloom.plans import clean_layer as layer
-from marketloom.session import durable
+from marketloom.session import stored
 from queries import query
 from queries import sql as s
 from queries.cleaning import clean_tables
@@ -17,9 +17,9 @@ from queries.cleaning import clean_tables
 RAW = tuple(messy.TABLES)
 
 
-def stored(name, df):
+def keep_once(name, df):
     """Clean tables are read by many checks, so each is evaluated once."""
-    return durable(df)
+    return stored(df, name)
 
 
 def _count(table, name, expr, source):
@@ -103,7 +103,7 @@ LOSS = {"orders": ("raw_orders", "clean_orders"), "customers": ("raw_customers",
     for t, (raw, clean) in LOSS.items()), s.ALL_CLEAN))
 def _(spark, folder):
     raw = messy.extracts(spark, folder)
-    clean = clean_tables(spark, folder, *LOSS, keep=stored)
+    clean = clean_tables(spark, folder, *LOSS, keep=keep_once)
     return p.row_loss({t: raw[t] for t in LOSS}, {t: clean[t] for t in LOSS})
 
 
@@ -141,7 +141,7 @@ HISTORY = ["customer_id", "customer_order_seq", "order_date", "city", "payment_g
                         "delivery_days:b is_late is_rto") + """ FROM fact
     WHERE customer_id = (SELECT MIN(customer_id) FROM dim WHERE orders >= 5) ORDER BY customer_order_seq LIMIT 20"""))
 def _(spark, folder):
-    fact = star.numbered_facts(spark, folder)
+    fact = star.kept_facts(spark, folder)
     return p.entity_history(fact, star.dimension(spark, folder, fact), "customer_id", F.col("orders") >= 5, HISTORY,
                             "customer_order_seq", 20)
 
@@ -188,7 +188,7 @@ VERDICT = """SELECT check_name, failing_rows,
 
 
 def quality(spark, folder):
-    clean = clean_tables(spark, folder, *layer.NEEDS, keep=stored)
+    clean = clean_tables(spark, folder, *layer.NEEDS, keep=keep_once)
     fact = mart.order_facts(clean["orders"], clean["order_items"], clean["returns"], clean["products"])
     return checks.build(clean, fact, messy.RULES)
 
