@@ -16,12 +16,18 @@ from pyspark.sql import functions as F
 
 from marketloom.session import durable
 
+# Rows of one group that one task may hold; beyond it the distributed ways take over.
+ROWS_PER_TASK_KEY = "spark.marketloom.rowsPerTask"
 ROWS_PER_TASK = 2_000_000
 
 # monotonically_increasing_id puts the partition number above bit 33 and the place below.
 _PLACE_BITS = 33
 
 
+def rows_per_task(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(ROWS_PER_TASK_KEY, str(ROWS_PER_TASK)))
+
+
 def largest_group(df: DataFrame, group: Sequence[str]) -> int:
     """Rows in the largest group; partial counts travel, not rows."""
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
@@ -42,7 +48,7 @@ def global_positions(df: DataFrame, order: Sequence[Column], column: str) -> Dat
 
 
 def number_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], column: str,
-                  largest: int | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                  largest: int | None = None) -> DataFrame:
     """1-based row number of each row in its group, also for a group of any size.
 
     ``order`` must leave no ties. ``largest`` is a known upper bound of the group size; it is
@@ -50,7 +56,7 @@ def number_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
     """
     if largest is None:
         largest = largest_group(df, group)
-    if largest <= rows_per_task:
+    if largest <= rows_per_task(df):
         return df.withColumn(column, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
 
     placed = global_positions(df, [F.col(g) for g in group] + list(order), "_place")
@@ -81,13 +87,12 @@ def bucket_of(position: Column, rows: Column | int, buckets: int) -> Column:
     return (F.when(position < in_large, large_bucket).otherwise(small_bucket) + 1).cast("int")
 
 
-def ntile_scores(df: DataFrame, scores: Mapping[str, Sequence[Column]], buckets: int,
-                 rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def ntile_scores(df: DataFrame, scores: Mapping[str, Sequence[Column]], buckets: int) -> DataFrame:
     """One NTILE column per entry of ``scores``, each over the whole table in its own order."""
     df = durable(df)
     rows = df.count()
     for column, order in scores.items():
-        if rows <= rows_per_task:
+        if rows <= rows_per_task(df):
             df = df.withColumn(column, F.ntile(buckets).over(Window.orderBy(*order)))
         else:
             df = (global_positions(df, order, "_place")

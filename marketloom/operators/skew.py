@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.operators.ranking import ROWS_PER_TASK, largest_group
+from marketloom.operators.ranking import largest_group, rows_per_task
 
 
 def spread_join(child: DataFrame, parent: DataFrame, key: str, spread_by: str, how: str = "inner",
-                largest: int | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                largest: int | None = None) -> DataFrame:
     """``child`` joined (inner or left) to ``parent``, which has at most one row per key.
 
     ``spread_by`` is a column that tells children of one key apart. ``largest`` is a known upper
@@ -23,12 +23,13 @@ def spread_join(child: DataFrame, parent: DataFrame, key: str, spread_by: str, h
     """
     if largest is None:
         largest = largest_group(child, [key])
-    if largest <= rows_per_task:
+    bound = rows_per_task(child)
+    if largest <= bound:
         return child.join(parent, key, how)
 
-    ways = -(-largest // rows_per_task)
+    ways = -(-largest // bound)
     heavy = (child.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-             .where((F.col("_n") > rows_per_task) & F.col(key).isNotNull())
+             .where((F.col("_n") > bound) & F.col(key).isNotNull())
              .select(key, F.lit(True).alias("_heavy")))
     zero = F.lit(0).cast("bigint")
     dealt = F.pmod(F.xxhash64(spread_by), F.lit(ways))

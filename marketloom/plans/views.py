@@ -15,7 +15,8 @@ from marketloom.functions import stats
 from marketloom.functions.dates import days_between, half_of_year, months_between_buckets
 from marketloom.functions.rates import percent, rounded_mean, share_of
 from marketloom.operators.modelling import DELIVERED, SHIPPED, is_status
-from marketloom.operators.ranking import ROWS_PER_TASK, ntile_scores
+from marketloom.operators.ranking import ntile_scores
+from marketloom.operators.skew import spread_join
 from marketloom.rules import DEFAULT_RULES, Rules
 from marketloom.session import durable
 
@@ -233,13 +234,13 @@ def rfm_segment() -> Column:
             .when((r <= 2) & (f <= 2), "Lost").otherwise("Needs attention"))
 
 
-def rfm(fact: DataFrame, rules: Rules = DEFAULT_RULES, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def rfm(fact: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Equal-size scores over all customers, ties broken by customer id."""
     tie = F.col("customer_id").asc()
     scores = {"r_score": [F.col("recency_days").desc(), tie],
               "f_score": [F.col("frequency").asc(), F.col("monetary").asc(), tie],
               "m_score": [F.col("monetary").asc(), tie]}
-    scored = ntile_scores(rfm_base(fact, rules), scores, rules.rfm_buckets, rows_per_task)
+    scored = ntile_scores(rfm_base(fact, rules), scores, rules.rfm_buckets)
     return scored.withColumn("segment", rfm_segment())
 
 
@@ -255,7 +256,9 @@ def rfm_summary(rfm_view: DataFrame) -> DataFrame:
 # --- returns ----------------------------------------------------------------------------------
 
 def _delivered_items(items: DataFrame, fact: DataFrame) -> DataFrame:
-    return items.join(fact.where(is_status(DELIVERED)).select("order_id"), "order_id", "left_semi")
+    """Items of delivered orders; the fact has one row per order, so no item repeats."""
+    delivered = fact.where(is_status(DELIVERED)).select("order_id")
+    return spread_join(items, delivered, "order_id", "order_item_id")
 
 
 def returns_by_category(items: DataFrame, products: DataFrame, fact: DataFrame, returns: DataFrame,
@@ -266,7 +269,7 @@ def returns_by_category(items: DataFrame, products: DataFrame, fact: DataFrame,
     row.
     """
     categories = products.select("product_id", "category")
-    sold = (_delivered_items(items.select("order_id", "product_id"), fact)
+    sold = (_delivered_items(items.select("order_item_id", "order_id", "product_id"), fact)
             .groupBy("product_id").agg(_rows().alias("n")).join(categories, "product_id")
             .groupBy("category").agg(F.sum("n").alias("items_delivered")))
 
@@ -305,7 +308,7 @@ def seller_returns(items: DataFrame, products: DataFrame, fact: DataFrame, retur
     base = F.col("_returned").cast("double") / F.col("_delivered")
     z = stats.binomial_z("items_returned", "items_delivered", base)
     flagged = F.coalesce((F.col("items_delivered") >= rules.seller_min_items) & (z > rules.seller_z), F.lit(False))
-    return (by_seller.join(by_category, "category").join(sellers.select("seller_id", "seller_name"), "seller_id")
+    return (spread_join(by_seller, by_category, "category", "seller_id").join(sellers.select("seller_id", "seller_name"), "seller_id")
             .select("seller_id", "seller_name", "category", *measures,
                     percent("items_returned", "items_delivered").alias("return_rate_pct"),
                     percent("_returned", "_delivered").alias("category_return_rate_pct"),

@@ -26,6 +26,17 @@ def test_query_equals_sql(name, spark, sf_dir, duck):
     assert compare.mismatch(ALL[name].run(spark, sf_dir), duck, ALL[name].sql) is None
 
 
+# Queries with a distributed way for groups that no single task could hold.
+SPREAD = ("fact_orders", "order_seq", "rfm", "rfm_summary", "customer_id_map", "canonical_documents", "reattribute",
+          "fill_from_parent", "clean_orders", "seller_returns", "returns_by_category", "dim_customers")
+
+
+@pytest.mark.parametrize("name", SPREAD)
+def test_distributed_way_equals_sql(name, spark, bound, sf_dir, duck):
+    bound(2)
+    assert compare.mismatch(ALL[name].run(spark, sf_dir), duck, ALL[name].sql) is None
+
+
 def test_contract(spark):
     entry = importlib.import_module("__spark_entry__")
     assert set(entry.oracle_sql()) == set(entry.queries()) == set(ALL)
@@ -55,9 +66,8 @@ def test_totals_are_conserved(fact):
     assert net == head.net_revenue
 
 
-def test_scores_are_even_and_paths_agree(fact):
-    plain, spread = views.rfm(fact, star.RULES), views.rfm(fact, star.RULES, rows_per_task=1)
-    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, spread.collect()))
+def test_scores_are_even(fact):
+    plain = views.rfm(fact, star.RULES)
     for score in ("r_score", "f_score", "m_score"):
         sizes = [r[1] for r in plain.groupBy(score).count().collect()]
         assert max(sizes) - min(sizes) <= 1

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from marketloom.operators.modelling import rollup_items
 from marketloom.operators.ranking import (bucket_of, first_within, global_positions, largest_group, number_within,
                                           ntile_scores)
 from marketloom.operators.skew import spread_join
@@ -41,9 +42,10 @@ def test_global_positions_are_gapless(spark):
 
 
 @pytest.mark.parametrize("rows_per_task", [10, 10 ** 6])
-def test_number_within(spark, rows_per_task):
+def test_number_within(spark, bound, rows_per_task):
+    bound(rows_per_task)
     order = [F.asc("t"), F.asc("id")]
-    got = number_within(skewed(spark), ["g"], order, "n", rows_per_task=rows_per_task)
+    got = number_within(skewed(spark), ["g"], order, "n")
     want = skewed(spark).withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
     assert got.columns == want.columns and got.schema["n"].dataType == want.schema["n"].dataType
     assert sorted((r.id, r.n) for r in got.collect()) == sorted((r.id, r.n) for r in want.collect())
@@ -51,10 +53,11 @@ def test_number_within(spark, rows_per_task):
 
 @pytest.mark.parametrize("n", [0, 1, 3, 7, 1500, 1503])
 @pytest.mark.parametrize("rows_per_task", [-1, 10 ** 6])
-def test_ntile_scores(spark, n, rows_per_task):
+def test_ntile_scores(spark, bound, n, rows_per_task):
+    bound(rows_per_task)
     df = spark.range(n).select("id", (F.col("id") * 7919 % 101).alias("v"))
     scores = {"up": [F.asc("v"), F.asc("id")], "down": [F.desc("v"), F.asc("id")]}
-    got = ntile_scores(df, scores, 5, rows_per_task)
+    got = ntile_scores(df, scores, 5)
     want = df
     for name, order in scores.items():
         want = want.withColumn(name, F.ntile(5).over(Window.orderBy(*order)))
@@ -76,12 +79,36 @@ def test_first_within_trims_before_the_shuffle(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("rows_per_task", [50, 10 ** 6])
-def test_spread_join(spark, how, rows_per_task):
+def test_spread_join(spark, bound, how, rows_per_task):
+    bound(rows_per_task)
     child = skewed(spark)
     parent = spark.createDataFrame([("hot", 1)] + [(f"g{i}", i) for i in range(0, 500, 2)] + [("unused", 9)],
                                    "g string, p int")
-    got = spread_join(child, parent, "g", "id", how, rows_per_task=rows_per_task)
+    got = spread_join(child, parent, "g", "id", how)
     want = child.join(parent, "g", how)
     assert set(got.columns) == set(want.columns)
     key = lambda r: (r.id, str(r.g), r.t, str(r.p))
     assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+
+
+def test_hot_product_is_split_between_tasks(spark):
+    """Items meet products straight from two shuffles, so adaptive execution can split a best seller."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k) for k in settings}
+    items = spark.range(0, 600_000, 1, 8).selectExpr(
+        "id as order_item_id", "id % 150000 as order_id", "if(id % 3 = 0, 7, id % 20000) as product_id", "1 as quantity",
+        "cast(10 as decimal(14,2)) as unit_price")
+    products = spark.range(20_000).selectExpr(
+        "id as product_id", "cast(1 as decimal(14,2)) as unit_cost", "cast(2 as decimal(14,2)) as list_price")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rolled = rollup_items(items, products)
+        assert len(rolled.collect()) == 150_000
+        assert "skew=true" in rolled._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

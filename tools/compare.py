@@ -1,6 +1,9 @@
 """Run every query beside its SQL answer and compare names, types and values.
 
     python tools/compare.py /root/testdata/sf0.01 [query ...]
+
+COMPARE_CONF sets session settings, for instance spark.sql.autoBroadcastJoinThreshold=-1 or
+spark.marketloom.rowsPerTask=50 to take the ways meant for large data.
 """
 
 from __future__ import annotations
@@ -59,6 +62,8 @@ def main() -> int:
     folder, only = sys.argv[1], set(sys.argv[2:])
     spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
+    for setting in filter(None, os.environ.get("COMPARE_CONF", "").split(",")):
+        spark.conf.set(*setting.split("=", 1))
     con, bad = duck(folder), 0
     for name, q in load_all().items():
         if only and name not in only:
