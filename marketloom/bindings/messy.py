@@ -109,7 +109,8 @@ TABLES = {
                CASE WHEN p_partkey % 211 = 0 THEN 'n/a' ELSE {_MONEY.format('p_retailprice')} END AS list_price,
                {_MONEY.format('p_retailprice - 250')} AS unit_cost
         FROM {{part}}""",
-    "raw_orders": f"{_ORDER}\n        UNION ALL {_ORDER} WHERE o_orderkey % 50 = 3",
+    # Ingestion retries: some rows arrive twice.
+    "raw_orders": f"{_ORDER}\n        UNION ALL {_ORDER} WHERE o_totalprice >= 480000",
     "raw_order_items": f"""
         SELECT {_ITEM} AS order_item_id, 'ORD' || {padded('l_orderkey', 9)} AS order_id,
                'P' || {padded('l_partkey', 9)} AS product_id,
@@ -126,7 +127,7 @@ TABLES = {
                CASE WHEN l_partkey % 61 = 0 THEN '' ELSE CAST(CAST(l_shipdate AS DATE) + 3 AS STRING) END AS return_requested_date,
                {_MONEY.format('l_extendedprice')} AS refund_amount
         FROM {{lineitem}} WHERE l_returnflag = 'R'""",
-    "raw_sessions": f"{_SESSION}\n        UNION ALL {_SESSION} WHERE event_id % 40 = 1",
+    "raw_sessions": f"{_SESSION}\n        UNION ALL {_SESSION} WHERE event_type = 'signup' AND value >= 100",
 }
 
 EXTRACTS = {"customers": "raw_customers", "sellers": "raw_sellers", "products": "raw_products", "orders": "raw_orders",

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from marketloom.bindings import derive, pick
 from marketloom.plans import mart
 from marketloom.rules import Rules
-from marketloom.session import durable
 
 RULES = dataclasses.replace(Rules(), as_of=dt.date(2001, 8, 1), value_band=Decimal(4000000), watched_courier="Courier A",
                             seller_z=2.0, seller_min_items=10)
@@ -96,11 +95,6 @@ def numbered_facts(spark: SparkSession, folder: str) -> DataFrame:
     return mart.fact_orders(**_order_tables(spark, folder))
 
 
-def kept_facts(spark: SparkSession, folder: str) -> DataFrame:
-    """The numbered fact, kept once for answers that read it more than once."""
-    return durable(numbered_facts(spark, folder))
-
-
 def dimension(spark: SparkSession, folder: str, fact: DataFrame | None = None) -> DataFrame:
     fact = numbered_facts(spark, folder) if fact is None else fact
     return mart.dim_customers(table(spark, folder, "customers"), fact, RULES)

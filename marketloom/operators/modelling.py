@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.dates import days_between, month_bucket, to_day
-from marketloom.operators.ranking import number_within
+from marketloom.operators.ranking import largest_group, number_within, rows_per_task
 
 DELIVERED = "Delivered"
 RETURNED = "Returned to Origin"
@@ -75,9 +75,18 @@ def with_status_flag(df: DataFrame, status: str, name: str) -> DataFrame:
 
 
 def with_order_seq(df: DataFrame, largest: int | None = None) -> DataFrame:
-    """Each customer's orders numbered in time; every status counts."""
-    order = [F.col("ordered_at").asc(), F.col("order_id").asc()]
-    return number_within(df, ["customer_id"], order, "customer_order_seq", largest)
+    """Each customer's orders numbered in time; every status counts.
+
+    Where a customer is too large for one task, only ids and times are sorted across tasks and the
+    numbers return by order_id, which orders are already partitioned by.
+    """
+    group, order, name = ["customer_id"], [F.col("ordered_at").asc(), F.col("order_id").asc()], "customer_order_seq"
+    if largest is None:
+        largest = largest_group(df, group)
+    if largest <= rows_per_task(df):
+        return number_within(df, group, order, name, largest)
+    narrow = df.select("order_id", "customer_id", "ordered_at")
+    return df.join(number_within(narrow, group, order, name, largest).select("order_id", name), "order_id")
 
 
 def assemble_orders(orders: DataFrame, items: DataFrame, returns: DataFrame, products: DataFrame) -> DataFrame:

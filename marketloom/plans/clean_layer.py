@@ -15,6 +15,7 @@ from marketloom.operators import cleaning as c
 from marketloom.operators.ranking import largest_group
 from marketloom.operators.skew import spread_join
 from marketloom.rules import DEFAULT_RULES, Rules
+from marketloom.session import run_at_once
 
 MONEY = "decimal(14,2)"
 PLACE = ("city", "province", "city_tier")
@@ -125,25 +126,28 @@ def checkout_sessions(raw_sessions: DataFrame, rules: Rules = DEFAULT_RULES) ->
     return c.drop_exact_duplicates(flagged)
 
 
-# What each clean table is built from; an order in which all can be built.
-NEEDS = {
-    "city_map": (), "customer_id_map": (), "customers": ("customer_id_map", "city_map"), "sellers": (), "products": (),
-    "orders": ("customer_id_map", "customers", "city_map"), "order_items": ("products", "orders"),
-    "returns": ("order_items",), "checkout_sessions": (),
-}
+# What each clean table is built from, step by step; tables of one step do not need each other.
+STEPS = (
+    {"city_map": (), "customer_id_map": (), "sellers": (), "products": (), "checkout_sessions": ()},
+    {"customers": ("customer_id_map", "city_map")},
+    {"orders": ("customer_id_map", "customers", "city_map")},
+    {"order_items": ("products", "orders")},
+    {"returns": ("order_items",)},
+)
+TABLES = tuple(name for step in STEPS for name in step)
 
 
 def with_needs(tables: Iterable[str]) -> set[str]:
     """The tables and everything they are built from."""
     wanted = set(tables)
-    for name in reversed(NEEDS):
-        if name in wanted:
-            wanted.update(NEEDS[name])
+    for step in reversed(STEPS):
+        for name in wanted & set(step):
+            wanted.update(step[name])
     return wanted
 
 
 def build(raw: Mapping[str, DataFrame], rules: Rules = DEFAULT_RULES, keep=lambda name, df: df,
-          tables: Iterable[str] = tuple(NEEDS)) -> dict[str, DataFrame]:
+          tables: Iterable[str] = TABLES) -> dict[str, DataFrame]:
     """Clean tables by name. ``keep(name, df)`` may store a table and hand back the stored one."""
     out: dict[str, DataFrame] = {}
     makers = {
@@ -158,7 +162,7 @@ def build(raw: Mapping[str, DataFrame], rules: Rules = DEFAULT_RULES, keep=lambd
         "checkout_sessions": lambda: checkout_sessions(raw["checkout_sessions"], rules),
     }
     wanted = with_needs(tables)
-    for name in NEEDS:
-        if name in wanted:
-            out[name] = keep(name, makers[name]())
+    for step in STEPS:
+        names = [name for name in step if name in wanted]
+        out.update(zip(names, run_at_once(lambda name: keep(name, makers[name]()), names)))
     return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketloom import lookups
-from marketloom.bindings import base_tables, messy, star
+from marketloom.bindings import base_table, messy, star
 from marketloom.functions import parsing, text
 from marketloom.functions.dates import to_day
 from marketloom.operators import cleaning as c
@@ -124,7 +124,7 @@ query("customer_id_map", "B14 B-T9", s.answer(
     FROM documents WHERE text IS NOT NULL""")
 def _(spark, folder):
     # Whole texts are compared through their SHA-256, so that texts are not shuffled.
-    documents = base_tables(spark, folder, ["documents"])["documents"]
+    documents = base_table(spark, folder, "documents")
     match = F.sha2(text.norm("text"), 256)
     return c.canonical_map(documents, match, [F.asc("n_chars"), F.asc("doc_id")], "doc_id", "doc_id", "canonical_id")
 

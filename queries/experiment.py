@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketloom.bindings import star
+from marketloom.bindings import base_table, star
 from marketloom.functions.stats import binomial_z
 from marketloom.operators import experiment as x
 from marketloom.plans import reports, views
@@ -81,7 +81,7 @@ query("srm_test", "G1 G2 G6", s.on_star(f"""
            ROUND((CAST(COUNT(*) FILTER (l_returnflag = 'R') AS DOUBLE) / COUNT(*) - 0.25) / SQRT(0.25 * 0.75 / COUNT(*)), 6) AS z
     FROM lineitem GROUP BY l_suppkey""")
 def _(spark, folder):
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    lines = base_table(spark, folder, "lineitem")
     counted = lines.groupBy(F.col("l_suppkey").alias("supplier")).agg(
         F.count(F.lit(1)).alias("lines"), F.count_if(F.col("l_returnflag") == "R").alias("returned"))
     return rounded(counted.withColumn("z", binomial_z("returned", "lines", F.lit(0.25))), "z")

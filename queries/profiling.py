@@ -141,7 +141,7 @@ HISTORY = ["customer_id", "customer_order_seq", "order_date", "city", "payment_g
                         "delivery_days:b is_late is_rto") + """ FROM fact
     WHERE customer_id = (SELECT MIN(customer_id) FROM dim WHERE orders >= 5) ORDER BY customer_order_seq LIMIT 20"""))
 def _(spark, folder):
-    fact = star.kept_facts(spark, folder)
+    fact = star.numbered_facts(spark, folder)
     return p.entity_history(fact, star.dimension(spark, folder, fact), "customer_id", F.col("orders") >= 5, HISTORY,
                             "customer_order_seq", 20)
 
@@ -188,7 +188,7 @@ VERDICT = """SELECT check_name, failing_rows,
 
 
 def quality(spark, folder):
-    clean = clean_tables(spark, folder, *layer.NEEDS, keep=keep_once)
+    clean = clean_tables(spark, folder, *layer.TABLES, keep=keep_once)
     fact = mart.order_facts(clean["orders"], clean["order_items"], clean["returns"], clean["products"])
     return checks.build(clean, fact, messy.RULES)
 
