@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from marketloom.functions.text import as_col, has_prefix, norm
 from marketloom.operators.ranking import first_within
 from marketloom.operators.skew import spread_join
+from marketloom.session import durable
 
 
 # --- rows -------------------------------------------------------------------------------------
@@ -64,22 +66,21 @@ def coalesce_with(df: DataFrame, fallbacks: Mapping[str, str]) -> DataFrame:
     return df.withColumns(filled).drop(*fallbacks.values())
 
 
-def earliest_first(date: Column, key: str) -> list[Column]:
-    """Order of accounts of one person: dated before undated, then by date, then by id."""
-    return [date.asc_nulls_last(), F.col(key).asc()]
-
-
 def canonical_map(df: DataFrame, match: Column, order: Sequence[Column], key: str,
                   raw_name: str = "raw_id", name: str = "canonical_id") -> DataFrame:
     """Every account with the id of its person's first account. Unmatchable rows drop out.
 
-    Map tasks forward only their first account per match key, and the way back is a spread join,
-    so a key that holds a large part of all accounts does not land on one task.
+    First means smallest by ``order``, unknown values last. Keys are taken off the rows once and
+    kept, since they are narrow and the rows may not be (whole texts, say). Map tasks forward only
+    their first account per match key, and the way back is a spread join, so a key that holds a
+    large part of all accounts does not land on one task.
     """
-    keyed = df.withColumn("_match", match).where(F.col("_match").isNotNull())
-    first = first_within(keyed, ["_match"], order).select("_match", F.col(key).alias(name))
-    accounts = keyed.select("_match", F.col(key).alias(raw_name))
-    return spread_join(accounts, first, "_match", raw_name).drop("_match")
+    ranks = [f"_rank{i}" for i in range(len(order))]
+    keyed = df.select(match.alias("_match"), F.col(key).alias(raw_name), *[c.alias(r) for c, r in zip(order, ranks)])
+    accounts = durable(keyed.where(F.col("_match").isNotNull()))
+    first = first_within(accounts, ["_match"], [F.asc_nulls_last(r) for r in ranks])
+    return (spread_join(accounts.drop(*ranks), first.select("_match", F.col(raw_name).alias("_first")), "_match", raw_name)
+            .select(raw_name, F.col("_first").alias(name)))
 
 
 def keep_canonical(df: DataFrame, id_map: DataFrame, key: str,
@@ -126,6 +127,7 @@ def flag_below(column: Column | str, limit) -> Column:
     return F.coalesce(as_col(column) < F.lit(limit), F.lit(False))
 
 
-def flag_before(column: Column | str, moment) -> Column:
+def flag_before(column: Column | str, moment: dt.datetime) -> Column:
     """True before the moment; NULL is false."""
-    return F.coalesce(as_col(column) < F.lit(moment).cast("timestamp_ntz"), F.lit(False))
+    # As text, because a datetime literal would be read in the driver's time zone.
+    return F.coalesce(as_col(column) < F.lit(moment.isoformat(" ")).cast("timestamp_ntz"), F.lit(False))

@@ -1,4 +1,4 @@
-"""The eighteen checks on the cleaned data."""
+"""The eighteen checks on the cleaned data. Check names are fixed values, as published."""
 
 from __future__ import annotations
 

@@ -24,8 +24,8 @@ PLACE = ("city", "province", "city_tier")
 def customer_id_map(raw_customers: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """B-T9: every real account with the id of its person's earliest account."""
     real = c.exclude_prefix(raw_customers, "customer_id", rules.qa_prefix)
-    order = c.earliest_first(safe_date("signup_date"), "customer_id")
-    return c.canonical_map(real, norm("email"), order, "customer_id", "raw_customer_id", "customer_id")
+    earliest = [safe_date("signup_date"), F.col("customer_id")]
+    return c.canonical_map(real, norm("email"), earliest, "customer_id", "raw_customer_id", "customer_id")
 
 
 def customers(raw_customers: DataFrame, id_map: DataFrame, cities: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The scorecard of defects in the raw extracts."""
+"""The scorecard of defects in the raw extracts. Check names are fixed values, as published."""
 
 from __future__ import annotations
 

@@ -126,7 +126,7 @@ def _(spark, folder):
     # Whole texts are compared through their SHA-256, so that texts are not shuffled.
     documents = base_table(spark, folder, "documents")
     match = F.sha2(text.norm("text"), 256)
-    return c.canonical_map(documents, match, [F.asc("n_chars"), F.asc("doc_id")], "doc_id", "doc_id", "canonical_id")
+    return c.canonical_map(documents, match, [F.col("n_chars"), F.col("doc_id")], "doc_id", "doc_id", "canonical_id")
 
 
 @query("keep_canonical", "B15", s.answer(

@@ -120,7 +120,7 @@ def _(spark, folder):
     shown = ["shipping_fee", "order_status"]
     return p.before_after(
         raw.select("order_id", F.col("order_datetime").alias("ordered"), F.col("shipping_city").alias("city"), *shown),
-        clean.select("order_id", F.date_format("ordered_at", "yyyy-MM-dd HH:mm:ss").alias("ordered"), "city", *shown),
+        clean.select("order_id", F.col("ordered_at").cast("string").alias("ordered"), "city", *shown),
         "order_id", pick)
 
 

@@ -6,7 +6,6 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from marketloom import lookups
-from marketloom.functions.parsing import safe_date
 from marketloom.operators import cleaning as c
 from marketloom.plans import clean_layer as layer
 from marketloom.rules import Rules
@@ -45,7 +44,7 @@ def test_clean_customers(spark, rows):
 def test_canonical_map_with_a_key_that_holds_most_rows(spark):
     df = spark.range(3000).select(
         F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("m"))
-    got = c.canonical_map(df, F.col("m"), [F.desc("k")], "k")
+    got = c.canonical_map(df, F.col("m"), [-F.col("k")], "k")
     assert got.where("raw_id % 3 > 0").select("canonical_id").distinct().collect()[0][0] == 2999
     assert got.count() == 3000
     assert got.where("raw_id % 3 = 0 and raw_id <> canonical_id").count() == 0
@@ -136,6 +135,12 @@ def test_null_if_before(spark, rows):
         (None, True), (2, False), (1, False), (None, False)]
 
 
-def test_safe_date_orders_unknown_signups_last(spark):
-    df = spark.createDataFrame([("a", "junk"), ("b", "2024-01-01")], "id string, d string")
-    assert [r.id for r in df.orderBy(*c.earliest_first(safe_date("d"), "id")).collect()] == ["b", "a"]
+def test_flag_before_ignores_the_session_time_zone(spark, rows):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Karachi")
+    try:
+        df = spark.sql("""SELECT * FROM VALUES (TIMESTAMP_NTZ'2024-12-31 23:59:59'), (TIMESTAMP_NTZ'2025-01-01 00:00:00'),
+                       (CAST(NULL AS TIMESTAMP_NTZ)) AS t(at)""")
+        assert rows(df.select(c.flag_before("at", Rules().legacy_until))) == [(True,), (False,), (False,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
