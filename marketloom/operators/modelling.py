@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.dates import days_between, month_bucket, to_day
+from marketloom.functions.money import cents, times, total
 from marketloom.operators.ranking import largest_group, number_within, rows_per_task
 
 DELIVERED = "Delivered"
@@ -24,21 +25,20 @@ def is_status(status: str, column: str = "order_status") -> Column:
 
 def rollup_items(items: DataFrame, products: DataFrame) -> DataFrame:
     """Items, units and money per order."""
-    priced = items.select("order_id", "product_id", "quantity", "unit_price").join(
-        products.select("product_id", "unit_cost", "list_price"), "product_id")
-    quantity = F.col("quantity")
-    return priced.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("items_count"),
-        F.sum(quantity).alias("units"),
-        F.sum(quantity * F.col("unit_price")).alias("gmv"),
-        F.sum(quantity * F.col("unit_cost")).alias("cogs"),
-        F.sum(quantity * F.col("list_price")).alias("list_value"))
+    charged = items.select("order_id", "product_id", "quantity", cents("unit_price").alias("gmv"))
+    listed = products.select("product_id", cents("unit_cost").alias("cogs"), cents("list_price").alias("list_value"))
+    sums = ("gmv", "cogs", "list_value")
+    lines = charged.join(listed, "product_id").select(
+        "order_id", "quantity", *[times("quantity", c).alias(c) for c in sums])
+    return lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("items_count"), F.sum("quantity").alias("units"),
+                                         *[total(c).alias(c) for c in sums])
 
 
 def rollup_returns(returns: DataFrame) -> DataFrame:
     """Returned items and refunds per order."""
-    return returns.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("returned_items"), F.sum("refund_amount").alias("refunded_value"))
+    refunds = returns.select("order_id", cents("refund_amount").alias("refunded_value"))
+    return refunds.groupBy("order_id").agg(F.count(F.lit(1)).alias("returned_items"),
+                                           total("refunded_value").alias("refunded_value"))
 
 
 def with_discount_value(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketloom import lookups
-from marketloom.functions import dates, parsing, rates, text
+from marketloom.functions import dates, money, parsing, rates, text
 
 
 def each(spark, values, expr, kind="string"):
@@ -107,3 +107,30 @@ def test_percent_holds_sums_of_a_trillion_rows(spark):
     big = Decimal("9") * 10 ** 21
     df = spark.createDataFrame([(big, big)], "a decimal(38,2), b decimal(38,2)")
     assert df.select(rates.percent("a", "b")).first()[0] == Decimal("100.00")
+
+
+def test_money_totals_are_exact(spark):
+    rows = [(1, i % 9 - 2, Decimal(p)) for i, p in enumerate(
+        ["0.01", "999999999999.99", "0.07", "1.15", "-3.33", "123456789.01", "0.29", "70000.10"] * 50)]
+    rows += [(2, 3, None), (2, None, Decimal("1.00")), (3, None, None)]
+    df = spark.createDataFrame(rows, "g int, q int, p decimal(14,2)")
+    got = df.select("g", money.times("q", money.cents("p")).alias("c")).groupBy("g").agg(money.total("c").alias("t"))
+    want = df.groupBy("g").agg(F.sum(F.col("q") * F.col("p")).alias("t"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_money_totals_beyond_64_bits(spark):
+    line = 9 * 10 ** 18  # cents; two of them overflow a bigint
+    df = spark.range(1000).select(F.lit(line).alias("c"))
+    assert df.agg(money.total("c")).first()[0] == Decimal(line) * 1000 / 100
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_line_too_large_stops(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(2 ** 31 - 1, Decimal("999999999999.99"))], "q int, p decimal(14,2)")
+        with pytest.raises(Exception, match="order line too large"):
+            df.select(money.times("q", money.cents("p"))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
