@@ -291,7 +291,7 @@ def seller_returns(items: DataFrame, products: DataFrame, fact: DataFrame, retur
                    rules: Rules = DEFAULT_RULES) -> DataFrame:
     """A seller's return rate in a category against the category's own rate."""
     outcome = returns.select("order_item_id", F.lit(1).alias("_back"),
-                             F.coalesce(F.col("return_reason") == rules.misdescribed_reason, F.lit(False)).alias("_misdescribed"))
+                             (F.col("return_reason") == rules.misdescribed_reason).alias("_misdescribed"))
     item_level = _delivered_items(items.select("order_item_id", "order_id", "product_id"), fact).join(
         outcome, "order_item_id", "left")
     per_product = item_level.groupBy("product_id").agg(
