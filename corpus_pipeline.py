@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketloom.llm import packing, simhash
+from marketloom.llm import packing, simhash, substring
 from marketloom.llm.queries import vocabulary
 from marketloom.session import stored
 
@@ -16,6 +17,12 @@ def dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
+def strip(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Passages that an earlier document holds go from the texts; every document stays."""
+    clean = substring.without_repeats(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(clean.schema["n_chars"].dataType))
+
+
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token pieces and their places in sequences."""
     return packing.pack(packing.pieces(docs, vocabulary(), keep_ids=False))
@@ -23,6 +30,7 @@ def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("simhash_near_dedup", dedup),
+    ("substring_dedup", strip),
     ("best_fit_packing", pack),
 ]
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import bpe, packing, simhash
+from marketloom.llm import bpe, packing, simhash, substring
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -39,6 +39,12 @@ def op7_best_fit_packing(spark, folder):
     return packing.pack(cut)
 
 
+@query
+def op8_substring_dedup(spark, folder):
+    done = substring.repeats(table(spark, folder, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("clean_text"), 256).alias("kept_sha256"))
+
+
 @query
 def op9_bpe_encode_decode(spark, folder):
     path = vocabulary()
