@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import bpe, packing, simhash, substring
+from marketloom.llm import bpe, packing, rules, simhash, substring
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -52,3 +52,10 @@ def op9_bpe_encode_decode(spark, folder):
     decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
     return done.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                        F.sha2(decimal, 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+@query
+def op10_quality_rules(spark, folder):
+    judged = rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept")
