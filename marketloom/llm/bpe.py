@@ -10,12 +10,14 @@ machine (as an installed package does). It has at most some 50,000 entries.
 
 from __future__ import annotations
 
-import heapq
 import json
 import re
+import string
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -25,15 +27,17 @@ from tokenizers import Tokenizer
 
 from marketloom.llm.common import pick, raw, steps
 
-#: Words that a worker remembers; beyond that it starts afresh.
+#: A worker remembers the ids of the last words it met, one to two times this many.
 REMEMBERED = 250_000
 #: Longer words are not remembered.
 REMEMBERED_BYTES = 64
 #: Below this code point all Unicode versions agree on case, composition and class.
 SETTLED = 0x250
-#: Characters that Python's and the vocabulary's notion of white space treat differently, or whose
-#: lower case depends on the version, are left to the vocabulary's own normaliser.
-_ODD = re.compile(f"[^\x00-{chr(SETTLED - 1)}]")
+PUNCTUATION = string.punctuation
+_UNSETTLED = re.compile(f"[^\x00-{chr(SETTLED - 1)}]")
+
+SYMBOL_BITS, PLACE_BITS = 20, 40
+SYMBOL_MASK, PLACE_MASK = (1 << SYMBOL_BITS) - 1, (1 << PLACE_BITS) - 1
 
 
 def byte_letters() -> list[str]:
@@ -62,7 +66,8 @@ class WordBpe:
         self.vocabulary: dict[str, int] = model["vocab"] | {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.end = model["end_of_word_suffix"] or ""
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.merges = {(self.vocabulary[a], self.vocabulary[b]): (rank, self.vocabulary[a + b])
+        # Keys and values are packed into one integer each: left and right symbol; rank and merged symbol.
+        self.merges = {self.vocabulary[a] << SYMBOL_BITS | self.vocabulary[b]: rank << SYMBOL_BITS | self.vocabulary[a + b]
                        for rank, (a, b) in enumerate(pairs)}
         self.letters = byte_letters()
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
@@ -70,89 +75,124 @@ class WordBpe:
         self.special_bytes = [s.encode() for s in self.special]
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         library = Tokenizer.from_file(path)
-        self.normaliser, self.splitter = library.normalizer, library.pre_tokenizer
+        self.normaliser, self.splitter, self.model = library.normalizer, library.pre_tokenizer, library.model
         size = max(self.vocabulary.values()) + 1
         strings: list[str | None] = [None] * size
         for s, i in self.vocabulary.items():
             strings[i] = s
         self.strings = pa.array(strings, pa.string())
         self.known = np.array([s is not None for s in strings])
-        self._pieces: dict[str, bytes] = {}
-        self._words: dict[bytes, bytes] = {}
+        # Symbols of single bytes, within a word and at its end; None if the vocabulary has none.
+        self.inner = [self.vocabulary.get(c) for c in self.letters]
+        self.final = [self.vocabulary.get(c + self.end) for c in self.letters]
+        self._known: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
 
     def merge(self, ids: list[int]) -> list[int]:
         """Apply merges by rank, leftmost first, to one word's symbols."""
-        merges, n = self.merges, len(ids)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        n = len(ids)
+        if n < 2:
+            return ids
+        find = self.merges.get
         queue = []
-        for i in range(n - 1):
-            found = merges.get((ids[i], ids[i + 1]))
-            if found:
-                queue.append((found[0], i))
-        heapq.heapify(queue)
+        left = ids[0]
+        for i in range(1, n):
+            right = ids[i]
+            found = find(left << SYMBOL_BITS | right)
+            if found is not None:
+                queue.append((found >> SYMBOL_BITS) << PLACE_BITS | i - 1)
+            left = right
+        if not queue:
+            return ids
+        heapify(queue)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while queue:
-            rank, i = heapq.heappop(queue)
-            j = after[i]
-            if ids[i] < 0 or j >= n:
+            entry = heappop(queue)
+            i = entry & PLACE_MASK
+            left, j = ids[i], after[i]
+            if left < 0 or j >= n:
                 continue
-            found = merges.get((ids[i], ids[j]))
-            if not found or found[0] != rank:
+            found = find(left << SYMBOL_BITS | ids[j])
+            if found is None or found >> SYMBOL_BITS != entry >> PLACE_BITS:
                 continue  # stale: one of the two symbols has been merged since
-            ids[i], ids[j] = found[1], -1
+            merged = found & SYMBOL_MASK
+            ids[i], ids[j] = merged, -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                found = merges.get((ids[i], ids[k]))
-                if found:
-                    heapq.heappush(queue, (found[0], i))
+                found = find(merged << SYMBOL_BITS | ids[k])
+                if found is not None:
+                    heappush(queue, (found >> SYMBOL_BITS) << PLACE_BITS | i)
             h = before[i]
             if h >= 0:
-                found = merges.get((ids[h], ids[i]))
-                if found:
-                    heapq.heappush(queue, (found[0], h))
+                found = find(ids[h] << SYMBOL_BITS | merged)
+                if found is not None:
+                    heappush(queue, (found >> SYMBOL_BITS) << PLACE_BITS | h)
         return [x for x in ids if x >= 0]
 
-    def _piece(self, letters: str) -> bytes:
-        """Ids of one piece, given in byte letters, as 32-bit little-endian."""
-        got = self._pieces.get(letters)
+    def _remember(self, word: bytes, ids: bytes) -> None:
+        """Keep short words; the older half of what is known goes when there are too many."""
+        if len(word) <= REMEMBERED_BYTES:
+            if len(self._known) >= REMEMBERED:
+                self._older, self._known = self._known, {}
+            self._known[word] = ids
+
+    def _piece(self, piece: bytes) -> bytes:
+        """Ids (32-bit little-endian) of what the splitting pattern leaves together, normalised."""
+        got = self._known.get(piece) or self._older.get(piece)
         if got is None:
-            symbols = [*letters[:-1], letters[-1] + self.end]
-            ids = [i for i in map(self.vocabulary.get, symbols) if i is not None]
-            got = np.array(self.merge(ids), "<i4").tobytes()
-            if len(letters) <= REMEMBERED_BYTES:
-                if len(self._pieces) >= REMEMBERED:
-                    self._pieces.clear()
-                self._pieces[letters] = got
+            got = array("i", self.ids_of(piece)).tobytes()
+            self._remember(piece, got)
         return got
 
+    def ids_of(self, piece: bytes) -> list[int]:
+        """Symbols of a piece's bytes, the last one as a word's end, merged."""
+        inner = self.inner
+        symbols = [inner[b] for b in piece]
+        symbols[-1] = self.final[piece[-1]]
+        if None in symbols:
+            symbols = [x for x in symbols if x is not None]
+        return self.merge(symbols)
+
     def _segment(self, text: str) -> bytes:
         """Ids of a text without special tokens."""
-        if _ODD.search(text):
-            split = [s for s, _ in self.splitter.pre_tokenize_str(self.normaliser.normalize_str(text))]
+        if _UNSETTLED.search(text):
+            # The library's own tables decide on classes and case.
+            plain = self.normaliser.normalize_str(text)
+            split = [plain[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(plain)]
         else:
-            text = unicodedata.normalize("NFC", text).lower()
-            letters = self.letters
-            split = ["".join([letters[b] for b in p.encode()]) for p in self.pattern.findall(text)]
-        return b"".join([self._piece(s) for s in split])
+            split = self.pattern.findall(unicodedata.normalize("NFC", text).lower())
+        return b"".join([self._piece(s.encode()) for s in split])
 
     def _word(self, word: bytes) -> bytes:
-        """Ids of what stands between white space. Remembered if short."""
-        text = word.decode("utf-8", "replace")
-        if any(s in word for s in self.special_bytes):
-            got = b"".join([np.array([self.special[s]], "<i4").tobytes() if s in self.special else self._segment(s)
-                            for s in self.special_split.split(text)])
-        else:
-            got = self._segment(text)
-        if len(word) <= REMEMBERED_BYTES:
-            if len(self._words) >= REMEMBERED:
-                self._words.clear()
-            self._words[word] = got
+        """Ids of what stands between white space."""
+        got = self._older.get(word)
+        if got is None:
+            text = word.decode("utf-8", "replace")
+            low = text.lower()
+            letters = low.rstrip(PUNCTUATION)
+            if letters.isalpha() and (letters.isascii() or not _UNSETTLED.search(letters)):
+                # Letters, then perhaps punctuation: two pieces, and composed already.
+                got = self._piece(letters.encode())
+                if len(letters) < len(low):
+                    got += self._piece(low[len(letters):].encode())
+            elif any([s in word for s in self.special_bytes]):
+                got = b"".join([array("i", [self.special[s]]).tobytes() if s in self.special else self._segment(s)
+                                for s in self.special_split.split(text)])
+            else:
+                got = self._segment(text)
+        self._remember(word, got)
         return got
 
     def encode(self, text: bytes) -> bytes:
         """Ids of a whole UTF-8 text as 32-bit little-endian. Nothing merges or composes across white space."""
-        known, word = self._words, self._word
-        return b"".join([known[w] if w in known else word(w) for w in text.split()])
+        words = text.split()
+        try:
+            known = self._known
+            return b"".join([known[w] for w in words])
+        except KeyError:
+            own = {w: known[w] if w in known else self._word(w) for w in set(words)}
+            return b"".join([own[w] for w in words])
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
         """Texts of the id lists that ``offsets`` cuts; ids without a string are passed over."""

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.bpe import id_lists, load
+from marketloom.llm.bpe import WordBpe, id_lists
 from marketloom.llm.common import pick, raw, steps
 from marketloom.session import stored
 
@@ -31,6 +32,19 @@ OPEN = 1024
 PIECES_PER_TASK = 200_000
 
 
+class LibraryIds(WordBpe):
+    """Ids by the ``tokenizers`` library, asked once for each piece of text that is not remembered."""
+
+    def ids_of(self, piece: bytes) -> list[int]:
+        letters = piece.decode() if piece.isalpha() else "".join([self.letters[b] for b in piece])
+        return [t.id for t in self.model.tokenize(letters)]
+
+
+@lru_cache(maxsize=4)
+def library_ids(path: str) -> LibraryIds:
+    return LibraryIds(path)
+
+
 class OpenBins:
     """A fixed number of open bins in a bitset keyed by free space."""
 
@@ -80,7 +94,7 @@ def pieces(docs: DataFrame, path: str, *, length: int = LENGTH, end: int = END,
     ending, cut = np.array([end], "<i4").tobytes(), 4 * length
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
+        bpe = library_ids(path)
         for batch in steps(batches, "text"):
             origin, number, parts = [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
