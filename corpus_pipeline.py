@@ -7,11 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import packing, simhash, substring
+from marketloom.llm import classifier, packing, rules, simhash, substring
 from marketloom.llm.queries import vocabulary
 from marketloom.session import stored
 
 
+def classify(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the weakly supervised classifier rejects go."""
+    return classifier.accepted(docs)
+
+
+def judge(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that fail the base rule or a risk-controlled cutoff of their language go."""
+    return rules.accepted(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 def dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return simhash.keep_one(docs)
@@ -29,6 +39,8 @@ def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", classify),
+    ("quality_rules", judge),
     ("simhash_near_dedup", dedup),
     ("substring_dedup", strip),
     ("best_fit_packing", pack),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import bpe, packing, rules, simhash, substring
+from marketloom.llm import bpe, classifier, packing, rules, simhash, substring
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -28,6 +28,11 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op2_quality_classifier(spark, folder):
+    return classifier.classify(table(spark, folder, "documents"))
+
+
 @query
 def op6_simhash_near_dedup(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
