@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import bpe, classifier, packing, rules, simhash, substring
+from marketloom.llm import bpe, classifier, packing, rules, shards, simhash, substring
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -33,6 +33,18 @@ def op2_quality_classifier(spark, folder):
     return classifier.classify(table(spark, folder, "documents"))
 
 
+#: Shards of the sharding query.
+SHARDS = [f"shard-{i:03d}" for i in range(256)]
+
+
+@query
+def op4_sharding(spark, folder):
+    """Place of each document, and where it goes when the last shard is lost."""
+    placed = shards.assign(table(spark, folder, "documents").select("doc_id"), "doc_id", SHARDS)
+    after = shards.table_frame(spark, SHARDS[:-1], name="shard_after_loss")
+    return placed.join(F.broadcast(after), "slot").select("doc_id", "slot", "shard", "shard_after_loss")
+
+
 @query
 def op6_simhash_near_dedup(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
