@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import bpe, classifier, packing, rules, shards, simhash, substring
+from marketloom.llm import bpe, classifier, graph_search, packing, rules, shards, simhash, substring, warc
+from marketloom.session import fresh_folder, stored
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -33,6 +34,11 @@ def op2_quality_classifier(spark, folder):
     return classifier.classify(table(spark, folder, "documents"))
 
 
+@query
+def op3_graph_nearest_neighbours(spark, folder):
+    return graph_search.nearest(table(spark, folder, "embeddings"))
+
+
 #: Shards of the sharding query.
 SHARDS = [f"shard-{i:03d}" for i in range(256)]
 
@@ -45,6 +51,15 @@ def op4_sharding(spark, folder):
     return placed.join(F.broadcast(after), "slot").select("doc_id", "slot", "shard", "shard_after_loss")
 
 
+@query
+def op5_warc(spark, folder):
+    path = fresh_folder(spark, "warc")
+    warc.write(table(spark, folder, "pages"), path)
+    records = stored(warc.read(spark, path, with_payload=False), "records")
+    return warc.resolve(records).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op6_simhash_near_dedup(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
