@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import bpe, classifier, graph_search, packing, rules, shards, simhash, substring, warc
+from marketloom.llm import bpe, classifier, graph_search, licenses, packing, rules, shards, simhash, substring, warc
 from marketloom.session import fresh_folder, stored
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,14 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_license_scan(spark, folder):
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+SQL["op1_license_scan"] = licenses.scan_sql()
+
+
 @query
 def op2_quality_classifier(spark, folder):
     return classifier.classify(table(spark, folder, "documents"))
