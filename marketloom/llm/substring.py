@@ -38,6 +38,8 @@ WINDOW, GRAM = 50, 8
 CHUNK = 128
 #: Characters of passages compiled into one automaton.
 SHARD_CHARS = 2 << 20
+#: Bits that tell documents with shared runs from others: 8 MB.
+BITMAP = 1 << 26
 #: Word hashes a worker remembers.
 REMEMBERED = 400_000
 
@@ -153,6 +155,24 @@ def _windows(texts: DataFrame, n: int) -> DataFrame:
     return texts.mapInArrow(run, f"doc_id {kind}, w1 bigint, w2 bigint, start bigint")
 
 
+def likely(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose id is among ``ids`` (a column of the same name), and a few others.
+
+    One bit for each of BITMAP hash values tells most other rows apart before their texts are shuffled. The
+    bitmap is broadcast; its size is fixed, whatever the number of ids: as they grow beyond it, more
+    rows pass, and the join that follows still decides.
+    """
+    slot = F.pmod(F.xxhash64(F.col(column)), F.lit(BITMAP))
+    width = 8 * 4096  # bits of one bitmap of Spark's
+    bitmaps = (ids.select(slot.alias("slot"))
+               .groupBy(F.floor(F.col("slot") / width).alias("part"))
+               .agg(F.bitmap_construct_agg(F.col("slot") % width).alias("bits")))
+    at = F.col("at") % width
+    byte = F.ascii(F.decode(F.col("bits").substr((at / 8).cast("int") + 1, F.lit(1)), "ISO-8859-1"))
+    return (rows.withColumn("at", slot).join(F.broadcast(bitmaps), F.floor(F.col("at") / width) == F.col("part"))
+            .where(F.bit_get(byte, (at % 8).cast("int")) == 1).drop("at", "part", "bits"))
+
+
 def routes(rows: DataFrame, n: int = WINDOW) -> DataFrame:
     """doc_id, provider (a smaller id) and chunk (of the provider's text) wherever windows are shared.
 
@@ -160,26 +180,24 @@ def routes(rows: DataFrame, n: int = WINDOW) -> DataFrame:
     """
     runs = stored(_runs(rows, n), "runs")
     texts = stored(runs.groupBy("seed", "run").agg(
-        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.min_by("at", "doc_id").alias("first_at")), "run_texts")
-    seeds = texts.groupBy("seed").agg(F.min("first").alias("lo"), F.max("last").alias("hi"), F.count(F.lit(1)).alias("texts"))
-    open_seeds = seeds.where("lo < hi and texts > 1").select("seed")
+        F.min("doc_id").alias("first"), F.min_by("at", "doc_id").alias("first_at"), F.count(F.lit(1)).alias("holders")), "run_texts")
+    contested = texts.groupBy("seed").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("seed")
 
     # Whole runs seen in an earlier document.
-    known = texts.where("first < last").select("seed", "run", "first", "first_at")
-    settled = (runs.join(known, ["seed", "run"]).where("doc_id > first")
+    known = texts.where("holders > 1").select("seed", "run", "first", "first_at")
+    settled = (runs.select("seed", "run", "doc_id").join(known, ["seed", "run"]).where("doc_id > first")
                .select("doc_id", F.col("first").alias("provider"), F.explode(F.array_distinct(F.array(
                    F.floor(F.col("first_at") / 64 / CHUNK),
                    F.floor((F.floor(F.col("first_at") / 64) + F.col("first_at") % 64) / CHUNK)))).alias("chunk"))
                .distinct())
 
     # Windows of runs that differ around a shared seed, from the first holder of each.
-    holders = (texts.join(open_seeds, "seed").groupBy(F.col("first").alias("doc_id"))
-               .agg(F.collect_list("first_at").alias("ats")))
-    closer = rows.select("doc_id", raw("text").alias("text")).join(holders, "doc_id")
+    holders = stored(texts.select("seed", "first", "first_at").join(contested, "seed")
+                     .groupBy(F.col("first").alias("doc_id")).agg(F.collect_list("first_at").alias("ats")), "holders")
+    closer = likely(rows.select("doc_id", raw("text").alias("text")), "doc_id", holders).join(holders, "doc_id")
     windows = stored(_windows(closer, n), "windows")
-    least = (windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"),
-                                             F.min_by("start", "doc_id").alias("first_start")).where("first < last"))
-    single = (windows.join(least, ["w1", "w2"]).where("doc_id > first")
+    least = (windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.min_by("start", "doc_id").alias("first_start")))
+    single = (windows.select("w1", "w2", "doc_id").join(least, ["w1", "w2"]).where("doc_id > first")
               .select("doc_id", F.col("first").alias("provider"), F.floor(F.col("first_start") / CHUNK).alias("chunk"))
               .distinct())
     return settled.unionByName(single).distinct()
@@ -314,8 +332,9 @@ def _strip(rows: DataFrame, n: int) -> DataFrame:
 def _with_passages(rows: DataFrame, n: int) -> DataFrame:
     """Rows (doc_id, text and others) with the passages that earlier documents provide for them."""
     sent = stored(routes(rows.select("doc_id", "text"), n), "routes")
-    wanted = sent.groupBy("provider").agg(F.collect_set("chunk").alias("chunks"))
-    sources = rows.select(F.col("doc_id").alias("provider"), raw("text").alias("text")).join(wanted, "provider")
+    wanted = stored(sent.groupBy("provider").agg(F.collect_set("chunk").alias("chunks")), "wanted")
+    sources = (likely(rows.select(F.col("doc_id").alias("provider"), raw("text").alias("text")), "provider", wanted)
+               .join(wanted, "provider"))
     provided = (sent.join(_chunks(sources, n), ["provider", "chunk"])
                 .groupBy("doc_id").agg(F.collect_list(F.struct("provider", "words")).alias("passages")))
     return rows.withColumn("raw", raw("text")).join(provided, "doc_id", "left")

@@ -63,3 +63,11 @@ def test_extra_columns_stay(spark):
     done = substring.without_repeats(docs)
     assert done.columns == docs.columns
     assert got(done) == [(1, passage, "a", 1), (2, "a b", "b", 2), (3, "keep\n  this", None, 3)]
+
+
+def test_bitmap_lets_all_wanted_rows_pass(spark):
+    rows, ids = spark.range(20_000).withColumnRenamed("id", "doc_id"), spark.range(0, 20_000, 37).withColumnRenamed("id", "doc_id")
+    passed = substring.likely(rows, "doc_id", ids)
+    assert passed.columns == ["doc_id"] and ids.join(passed, "doc_id", "left_anti").count() == 0
+    assert passed.count() < 1.05 * ids.count()
+    assert substring.likely(rows, "doc_id", ids.limit(0)).count() == 0
