@@ -25,15 +25,26 @@ def cents(price: Column | str) -> Column:
     return F.round(as_col(price).cast(MONEY).cast("double") * 100).cast("bigint")
 
 
-def times(quantity: Column | str, whole_cents: Column | str) -> Column:
-    """Quantity times cents. A line above 9 * 10^18 cents stops the run instead of wrapping."""
+def _exact_total(amount: Column) -> Column:
+    """Aggregate: the sum of whole numbers as a decimal."""
+    high = F.sum(F.shiftright(amount, _LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(amount.bitwiseAND((1 << _LOW_BITS) - 1)).cast("decimal(20,0)")
+    return high * F.lit(1 << _LOW_BITS) + low
+
+
+def total_times(quantity: Column | str, whole_cents: Column | str) -> Column:
+    """Aggregate: the exact sum of quantity times cents as money; NULL without any value.
+
+    Lines above 9 * 10^18 cents, which no integer holds, are summed apart as decimals.
+    """
     count, amount = as_col(quantity).cast("bigint"), as_col(whole_cents)
     too_large = F.abs(count.cast("double") * amount.cast("double")) > 9e18
-    return F.when(too_large, F.raise_error(F.lit("order line too large")).cast("bigint")).otherwise(count * amount)
+    usual = _exact_total(F.when(~too_large, count * amount))
+    unusual = F.sum(F.when(too_large, count.cast("decimal(19,0)") * amount.cast("decimal(19,0)")))
+    whole = F.coalesce(usual.cast("decimal(38,0)") + unusual, usual.cast("decimal(38,0)"), unusual)
+    return (whole.cast("decimal(34,0)") * F.lit(Decimal("0.01"))).cast(TOTAL)
 
 
 def total(whole_cents: str) -> Column:
     """Aggregate: the exact sum of a cents column as money; NULL without any value."""
-    high = F.sum(F.shiftright(whole_cents, _LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(F.col(whole_cents).bitwiseAND((1 << _LOW_BITS) - 1)).cast("decimal(20,0)")
-    return ((high * F.lit(1 << _LOW_BITS) + low) * F.lit(Decimal("0.01"))).cast(TOTAL)
+    return (_exact_total(F.col(whole_cents)) * F.lit(Decimal("0.01"))).cast(TOTAL)

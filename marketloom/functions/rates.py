@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from marketloom.functions.text import as_col
 
-# Wide enough for 10^12 rows of 10^10 each, narrow enough that a quotient keeps 10 digits after
-# the point, so that rounding it once more to 2 digits is exact.
+# Counts or money; 10^22 is beyond both.
 _AMOUNT = "decimal(24,2)"
 
 
@@ -17,19 +18,35 @@ def _exact(c: Column | str) -> Column:
 
 
 def ratio(part: Column | str, whole: Column | str) -> Column:
-    """part / whole as an exact decimal; NULL where the whole is 0."""
+    """part / whole as a decimal of 10 places; NULL where the whole is 0."""
     return _exact(part) / F.nullif(_exact(whole), F.lit(0).cast(_AMOUNT))
 
 
+def _rounded_quotient(part: Column, whole: Column, scale: int) -> Column:
+    """part / whole rounded once, halves away from zero; NULL where the whole is 0.
+
+    Both sides become whole hundredths, and the quotient is taken in whole numbers: with n the part times
+    10^scale and d the whole, (2 n + d) div 2 d is n / d rounded half up, for any n and d above zero.
+    """
+    def hundredths(c: Column) -> Column:
+        return F.abs(c * F.lit(100)).cast("decimal(26,0)")
+
+    n = (hundredths(part) * F.lit(2 * 10 ** scale)).cast("decimal(34,0)")
+    d = F.nullif(hundredths(whole), F.lit(0).cast("decimal(26,0)")).cast("decimal(34,0)")
+    quotient = F.call_function("div", n + d, d * F.lit(2))
+    sign = F.when((part < 0) != (whole < 0), F.lit(-1)).otherwise(F.lit(1))
+    places = F.lit(Decimal(1).scaleb(-scale)) if scale else F.lit(Decimal(1))
+    return ((sign * quotient).cast("decimal(20,0)") * places).cast(f"decimal(18,{scale})")
+
+
 def percent(part: Column | str, whole: Column | str, scale: int = 2) -> Column:
     """100 * part / whole, rounded; NULL where the whole is 0."""
-    hundredfold = (_exact(part) * F.lit(100)).cast("decimal(28,2)")
-    return F.round(hundredfold / F.nullif(_exact(whole), F.lit(0).cast(_AMOUNT)), scale).cast(f"decimal(18,{scale})")
+    return _rounded_quotient((_exact(part) * F.lit(100)).cast("decimal(26,2)"), _exact(whole), scale)
 
 
 def rounded_mean(total: Column | str, n: Column | str, scale: int = 2) -> Column:
     """total / n, rounded; NULL where n is 0."""
-    return F.round(ratio(total, n), scale).cast(f"decimal(18,{scale})")
+    return _rounded_quotient(_exact(total), _exact(n), scale)
 
 
 def share_of(n_true: Column, n_known: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from marketloom.functions.text import as_col, has_prefix, norm
 from marketloom.operators.ranking import first_within
 from marketloom.operators.skew import spread_join
-from marketloom.session import durable
+from marketloom.session import stored
 
 
 # --- rows -------------------------------------------------------------------------------------
@@ -77,7 +77,7 @@ def canonical_map(df: DataFrame, match: Column, order: Sequence[Column], key: st
     """
     ranks = [f"_rank{i}" for i in range(len(order))]
     keyed = df.select(match.alias("_match"), F.col(key).alias(raw_name), *[c.alias(r) for c, r in zip(order, ranks)])
-    accounts = durable(keyed.where(F.col("_match").isNotNull()))
+    accounts = stored(keyed.where(F.col("_match").isNotNull()), "accounts")
     first = first_within(accounts, ["_match"], [F.asc_nulls_last(r) for r in ranks])
     return (spread_join(accounts.drop(*ranks), first.select("_match", F.col(raw_name).alias("_first")), "_match", raw_name)
             .select(raw_name, F.col("_first").alias(name)))

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.dates import days_between, month_bucket, to_day
-from marketloom.functions.money import cents, times, total
-from marketloom.operators.ranking import largest_group, number_within, rows_per_task
+from marketloom.functions.money import cents, total, total_times
+from marketloom.operators.ranking import number_in_steps
 
 DELIVERED = "Delivered"
 RETURNED = "Returned to Origin"
@@ -28,10 +28,9 @@ def rollup_items(items: DataFrame, products: DataFrame) -> DataFrame:
     charged = items.select("order_id", "product_id", "quantity", cents("unit_price").alias("gmv"))
     listed = products.select("product_id", cents("unit_cost").alias("cogs"), cents("list_price").alias("list_value"))
     sums = ("gmv", "cogs", "list_value")
-    lines = charged.join(listed, "product_id").select(
-        "order_id", "quantity", *[times("quantity", c).alias(c) for c in sums])
+    lines = charged.join(listed, "product_id")
     return lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("items_count"), F.sum("quantity").alias("units"),
-                                         *[total(c).alias(c) for c in sums])
+                                         *[total_times("quantity", c).alias(c) for c in sums])
 
 
 def rollup_returns(returns: DataFrame) -> DataFrame:
@@ -74,19 +73,14 @@ def with_status_flag(df: DataFrame, status: str, name: str) -> DataFrame:
     return df.withColumn(name, is_status(status))
 
 
-def with_order_seq(df: DataFrame, largest: int | None = None) -> DataFrame:
+def with_order_seq(df: DataFrame) -> DataFrame:
     """Each customer's orders numbered in time; every status counts.
 
-    Where a customer is too large for one task, only ids and times are sorted across tasks and the
-    numbers return by order_id, which orders are already partitioned by.
+    Numbers run within a customer's day and earlier days add their counts, so a customer with much of all
+    orders is dealt over as many tasks as there are days. Orders of unknown time come first.
     """
-    group, order, name = ["customer_id"], [F.col("ordered_at").asc(), F.col("order_id").asc()], "customer_order_seq"
-    if largest is None:
-        largest = largest_group(df, group)
-    if largest <= rows_per_task(df):
-        return number_within(df, group, order, name, largest)
-    narrow = df.select("order_id", "customer_id", "ordered_at")
-    return df.join(number_within(narrow, group, order, name, largest).select("order_id", name), "order_id")
+    order = [F.asc_nulls_first("ordered_at"), F.asc("order_id")]
+    return number_in_steps(df, ["customer_id"], F.to_date("ordered_at"), order, "customer_order_seq")
 
 
 def assemble_orders(orders: DataFrame, items: DataFrame, returns: DataFrame, products: DataFrame) -> DataFrame:

@@ -1,42 +1,29 @@
-"""Row numbers and equal-size buckets over orders that no single task could hold.
+"""Places, row numbers and equal-size buckets over orders that no single task could hold.
 
-``row_number`` and ``ntile`` sort each group in one task. That is the right plan while the largest
-group is small, so its size is measured first. Beyond the bound the rows are range-sorted over all
-tasks, each row keeps its place in that sort on shared storage, and places turn into numbers by
-adding up the sizes of the sort partitions before it (one small row per partition).
+Rows are range-sorted over all tasks, each keeps its place in that sort on shared storage, and places
+turn into numbers by adding up the sizes of the sort partitions before it (one small row per
+partition). There is one plan, whatever the number of rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.session import durable
-
-# Rows of one group that one task may hold; beyond it the distributed ways take over.
-ROWS_PER_TASK_KEY = "spark.marketloom.rowsPerTask"
-ROWS_PER_TASK = 2_000_000
+from marketloom.session import stored
 
 # monotonically_increasing_id puts the partition number above bit 33 and the place below.
 _PLACE_BITS = 33
 
 
-def rows_per_task(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(ROWS_PER_TASK_KEY, str(ROWS_PER_TASK)))
-
-
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows in the largest group; partial counts travel, not rows."""
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
 def global_positions(df: DataFrame, order: Sequence[Column], column: str) -> DataFrame:
-    """0-based place of every row in the total order, plus ``_part``, its sort partition."""
-    placed = durable(df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()))
+    """0-based place of every row in the total order. ``order`` must leave no ties.
+
+    Hand in only the columns that are needed: they are all sorted and stored.
+    """
+    placed = stored(df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()), "places")
     placed = placed.withColumn("_part", F.shiftright("_slot", _PLACE_BITS))
     # One row per sort partition, so spark.sql.shuffle.partitions bounds both window and broadcast.
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -44,30 +31,7 @@ def global_positions(df: DataFrame, order: Sequence[Column], column: str) -> Dat
                .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")))
     return (placed.join(F.broadcast(offsets), "_part")
             .withColumn(column, F.col("_before") + F.col("_slot").bitwiseAND((1 << _PLACE_BITS) - 1))
-            .drop("_slot", "_before"))
-
-
-def number_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], column: str,
-                  largest: int | None = None) -> DataFrame:
-    """1-based row number of each row in its group, also for a group of any size.
-
-    ``order`` must leave no ties. ``largest`` is a known upper bound of the group size; it is
-    measured when not given.
-    """
-    if largest is None:
-        largest = largest_group(df, group)
-    if largest <= rows_per_task(df):
-        return df.withColumn(column, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-
-    placed = global_positions(df, [F.col(g) for g in group] + list(order), "_place")
-    # A group that spans many sort partitions has one row per partition here, so the window below
-    # holds at most as many rows as there are partitions.
-    starts = (placed.groupBy(*group, "_part").agg(F.min("_place").alias("_first"))
-              .withColumn("_first", F.min("_first").over(Window.partitionBy(*group))))
-    same = [F.col(f"rows.{c}").eqNullSafe(F.col(f"starts.{c}")) for c in (*group, "_part")]
-    return (placed.alias("rows").join(starts.alias("starts"), reduce(Column.__and__, same))
-            .select(*[F.col(f"rows.{c}") for c in df.columns],
-                    (F.col("rows._place") - F.col("starts._first") + 1).cast("int").alias(column)))
+            .drop("_slot", "_part", "_before"))
 
 
 def first_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
@@ -76,6 +40,27 @@ def first_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], n
     return ranked.where(F.col("_rank") <= n).drop("_rank")
 
 
+def number_in_steps(df: DataFrame, group: Sequence[str], step: Column, order: Sequence[Column], column: str) -> DataFrame:
+    """1-based row number of each row in its group, where a group may be large but a group's step is not.
+
+    ``step`` (a day, say) must never fall along ``order``; NULL comes first in both, and rows of one
+    step are numbered in one task. Earlier steps add their row counts, one small row per group and step.
+    ``order`` must leave no ties.
+    """
+    stepped = df.withColumn("_step", step)
+    keys = [*group, "_step"]
+    counts = stepped.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*group).orderBy(F.asc_nulls_first("_step")).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*[F.col(k).alias(f"_own{i}") for i, k in enumerate(keys)],
+                           F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_own{i}"))
+    return (stepped.withColumn("_within", within).join(before, same)
+            .select(*df.columns, (F.col("_before") + F.col("_within")).cast("int").alias(column)))
+
+
 def bucket_of(position: Column, rows: Column | int, buckets: int) -> Column:
     """NTILE of a 0-based position: the first ``rows % buckets`` buckets hold one row more."""
     rows = F.lit(rows) if isinstance(rows, int) else rows
@@ -87,14 +72,19 @@ def bucket_of(position: Column, rows: Column | int, buckets: int) -> Column:
     return (F.when(position < in_large, large_bucket).otherwise(small_bucket) + 1).cast("int")
 
 
-def ntile_scores(df: DataFrame, scores: Mapping[str, Sequence[Column]], buckets: int) -> DataFrame:
-    """One NTILE column per entry of ``scores``, each over the whole table in its own order."""
-    df = durable(df)
-    rows = df.count()
-    for column, order in scores.items():
-        if rows <= rows_per_task(df):
-            df = df.withColumn(column, F.ntile(buckets).over(Window.orderBy(*order)))
-        else:
-            df = (global_positions(df, order, "_place")
-                  .withColumn(column, bucket_of(F.col("_place"), rows, buckets)).drop("_place", "_part"))
-    return df
+def ntile_scores(df: DataFrame, key: str, scores: Mapping[str, Sequence[str]], buckets: int) -> DataFrame:
+    """One NTILE column per entry of ``scores``, each over the whole table in its own order.
+
+    ``key`` tells rows apart (one of them may be NULL) and breaks ties upwards. An order lists columns, each
+    after "-" if it falls. Only the key and the order's columns are sorted; the buckets come back by key.
+    """
+    base = stored(df, "scored")
+    rows = base.count()
+    out = base
+    for name, order in scores.items():
+        columns = [c.removeprefix("-") for c in order]
+        places = global_positions(base.select(key, *columns),
+                                  [F.desc(c) if c != o else F.asc(c) for c, o in zip(columns, order)] + [F.asc(key)], "_place")
+        scored = places.select(F.col(key).alias("_key"), bucket_of(F.col("_place"), rows, buckets).alias(name))
+        out = out.join(scored, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+    return out

@@ -1,44 +1,19 @@
-"""Joining children to one parent row each when one key, or NULL, holds much of the children.
-
-Adaptive execution splits a skewed join only when both sides come straight from a shuffle. Where a
-side is itself grouped or ranked by the join key it does not, so the split is made here: the keys
-above the bound are few (at most rows / bound), their children are dealt over several sub-keys and
-their one parent row is repeated for each sub-key.
-"""
+"""Joining children to one parent row each when one key, or NULL, holds much of the children."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.operators.ranking import largest_group, rows_per_task
-
 
-def spread_join(child: DataFrame, parent: DataFrame, key: str, spread_by: str, how: str = "inner",
-                largest: int | None = None) -> DataFrame:
+def spread_join(child: DataFrame, parent: DataFrame, key: str, spread_by: str, how: str = "inner") -> DataFrame:
     """``child`` joined (inner or left) to ``parent``, which has at most one row per key.
 
-    ``spread_by`` is a column that tells children of one key apart. ``largest`` is a known upper
-    bound of the children per key; it is measured when not given.
+    Adaptive execution splits a heavy key if both sides come straight from a shuffle. A side that is
+    itself grouped or ranked by the key would not be shuffled again, so the join has a second key that
+    no earlier step can have dealt the rows by. It also deals out children whose key is NULL, by
+    ``spread_by``, a column that tells children of one key apart.
     """
-    if largest is None:
-        largest = largest_group(child, [key])
-    bound = rows_per_task(child)
-    if largest <= bound:
-        return child.join(parent, key, how)
-
-    ways = -(-largest // bound)
-    heavy = (child.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-             .where((F.col("_n") > bound) & F.col(key).isNotNull())
-             .select(key, F.lit(True).alias("_heavy")))
-    zero = F.lit(0).cast("bigint")
-    dealt = F.pmod(F.xxhash64(spread_by), F.lit(ways))
-    is_heavy = F.coalesce("_heavy", F.lit(False))
-    # NULL keys match no parent, so they are dealt out as well.
-    left = (child.join(F.broadcast(heavy), key, "left")
-            .withColumn("_deal", F.when(is_heavy | F.col(key).isNull(), dealt).otherwise(zero))
-            .drop("_heavy"))
-    repeats = F.when(is_heavy, F.sequence(zero, F.lit(ways - 1).cast("bigint"))).otherwise(F.array(zero))
-    right = (parent.join(F.broadcast(heavy), key, "left")
-             .withColumn("_deal", F.explode(repeats)).drop("_heavy"))
-    return left.join(right, [key, "_deal"], how).drop("_deal")
+    dealt = F.when(F.col(key).isNull(), F.xxhash64(spread_by)).otherwise(F.xxhash64(key))
+    return (child.withColumn("_deal", dealt).join(parent.withColumn("_deal", F.xxhash64(key)), [key, "_deal"], how)
+            .drop("_deal"))

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.operators import modelling as m
-from marketloom.operators.ranking import largest_group
 from marketloom.rules import DEFAULT_RULES, Rules
 
 FACT_COLUMNS = (
@@ -27,13 +26,8 @@ def order_facts(orders: DataFrame, items: DataFrame, returns: DataFrame, product
 
 
 def fact_orders(orders: DataFrame, items: DataFrame, returns: DataFrame, products: DataFrame) -> DataFrame:
-    """The order fact. The number counts only orders that are in the fact, so it comes last.
-
-    The fact holds a subset of the orders, so the largest customer among the orders bounds the
-    groups to number; measuring it there reads one column and joins nothing.
-    """
-    facts = order_facts(orders, items, returns, products)
-    return m.with_order_seq(facts, largest=largest_group(orders, ["customer_id"]))
+    """The order fact. The number counts only orders that are in the fact, so it comes last."""
+    return m.with_order_seq(order_facts(orders, items, returns, products))
 
 
 def dim_customers(customers: DataFrame, fact: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:

@@ -18,7 +18,7 @@ from marketloom.operators.modelling import DELIVERED, SHIPPED, is_status
 from marketloom.operators.ranking import ntile_scores
 from marketloom.operators.skew import spread_join
 from marketloom.rules import DEFAULT_RULES, Rules
-from marketloom.session import durable
+from marketloom.session import stored
 
 # --- shared measures --------------------------------------------------------------------------
 
@@ -236,11 +236,8 @@ def rfm_segment() -> Column:
 
 def rfm(fact: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Equal-size scores over all customers, ties broken by customer id."""
-    tie = F.col("customer_id").asc()
-    scores = {"r_score": [F.col("recency_days").desc(), tie],
-              "f_score": [F.col("frequency").asc(), F.col("monetary").asc(), tie],
-              "m_score": [F.col("monetary").asc(), tie]}
-    scored = ntile_scores(rfm_base(fact, rules), scores, rules.rfm_buckets)
+    scores = {"r_score": ["-recency_days"], "f_score": ["frequency", "monetary"], "m_score": ["monetary"]}
+    scored = ntile_scores(rfm_base(fact, rules), "customer_id", scores, rules.rfm_buckets)
     return scored.withColumn("segment", rfm_segment())
 
 
@@ -255,53 +252,53 @@ def rfm_summary(rfm_view: DataFrame) -> DataFrame:
 
 # --- returns ----------------------------------------------------------------------------------
 
-def _delivered_items(items: DataFrame, fact: DataFrame) -> DataFrame:
-    """Items of delivered orders; the fact has one row per order, so no item repeats."""
-    delivered = fact.where(is_status(DELIVERED)).select("order_id")
-    return spread_join(items, delivered, "order_id", "order_item_id")
+def product_returns(items: DataFrame, fact: DataFrame, returns: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """What E14 and E15 count, per product, from one pass over the items.
 
-
-def returns_by_category(items: DataFrame, products: DataFrame, fact: DataFrame, returns: DataFrame,
-                        rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Returns of any order against delivered items; categories without returns stay.
-
-    Both sides collapse to products before they meet the catalogue, so a best seller joins as one
-    row.
+    Returns collapse to items and the fact has one row per order, so no item repeats, and a best seller
+    leaves as one row. ``items_delivered`` counts items of delivered orders; ``sold_back`` and the columns
+    after it only their returns, all others the returns of any order. An item returned more than once
+    counts with each of its returns in ``sold_rows``.
     """
-    categories = products.select("product_id", "category")
-    sold = (_delivered_items(items.select("order_item_id", "order_id", "product_id"), fact)
-            .groupBy("product_id").agg(_rows().alias("n")).join(categories, "product_id")
-            .groupBy("category").agg(F.sum("n").alias("items_delivered")))
-
     reasons = {name: F.count_if(F.col("return_reason") == reason) for name, reason in rules.return_reasons.items()}
-    per_product = (returns.select("order_item_id", "return_reason", "refund_amount")
-                   .join(items.select("order_item_id", "product_id"), "order_item_id").groupBy("product_id")
-                   .agg(_rows().alias("items_returned"), *[n.alias(name) for name, n in reasons.items()],
-                        F.sum("refund_amount").alias("refunded_value")))
-    counts = ["items_returned", *reasons, "refunded_value"]
-    returned = (per_product.join(categories, "product_id").groupBy("category")
-                .agg(*[F.sum(c).alias(c) for c in counts]))
+    misdescribed = F.count_if(F.col("return_reason") == rules.misdescribed_reason)
+    back = returns.select("order_item_id", "return_reason", "refund_amount").groupBy("order_item_id").agg(
+        _rows().alias("items_returned"), *[n.alias(name) for name, n in reasons.items()],
+        F.sum("refund_amount").alias("refunded_value"), misdescribed.alias("misdescribed"))
+    delivered = fact.where(is_status(DELIVERED)).select("order_id", F.lit(True).alias("delivered"))
+    joined = (items.select("order_item_id", "order_id", "product_id").join(delivered, "order_id", "left")
+              .join(back, "order_item_id", "left"))
+    on_delivered = lambda c: F.sum(F.when(F.col("delivered"), c))
+    returned = F.coalesce("items_returned", F.lit(0))
+    return joined.groupBy("product_id").agg(
+        F.count("delivered").alias("items_delivered"),
+        *[F.sum(c).alias(c) for c in ("items_returned", *reasons, "refunded_value")],
+        on_delivered(F.greatest(returned, F.lit(1))).alias("sold_rows"), on_delivered(returned).alias("sold_back"),
+        on_delivered(F.coalesce("misdescribed", F.lit(0))).alias("sold_misdescribed"))
+
+
+def returns_by_category(per_product: DataFrame, products: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """Returns of any order against delivered items; categories without returns stay, those without
+    delivered items do not."""
+    reasons = list(rules.return_reasons)
+    sums = ["items_delivered", "items_returned", *reasons, "refunded_value"]
+    counted = (per_product.join(products.select("product_id", "category"), "product_id").groupBy("category")
+               .agg(*[F.sum(c).alias(c) for c in sums]).where("items_delivered > 0"))
+    # Items without a category are counted, but no return is ascribed to a missing category.
+    known = {c: F.when(F.col("category").isNotNull(), F.col(c)) for c in ("items_returned", *reasons, "refunded_value")}
     back = F.coalesce("items_returned", F.lit(0))
-    return sold.join(returned, "category", "left").select(
+    return counted.withColumns(known).select(
         "category", "items_delivered", back.alias("items_returned"),
         percent(back, "items_delivered").alias("return_rate_pct"), *reasons, "refunded_value")
 
 
-def seller_returns(items: DataFrame, products: DataFrame, fact: DataFrame, returns: DataFrame, sellers: DataFrame,
-                   rules: Rules = DEFAULT_RULES) -> DataFrame:
+def seller_returns(per_product: DataFrame, products: DataFrame, sellers: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """A seller's return rate in a category against the category's own rate."""
-    outcome = returns.select("order_item_id", F.lit(1).alias("_back"),
-                             (F.col("return_reason") == rules.misdescribed_reason).alias("_misdescribed"))
-    item_level = _delivered_items(items.select("order_item_id", "order_id", "product_id"), fact).join(
-        outcome, "order_item_id", "left")
-    per_product = item_level.groupBy("product_id").agg(
-        _rows().alias("items_delivered"), F.count("_back").alias("items_returned"),
-        F.count_if(F.col("_misdescribed")).alias("not_as_described_returns"))
-    measures = ["items_delivered", "items_returned", "not_as_described_returns"]
-    # Read twice below, and the pass over all items behind it should not be: one row per seller
-    # and category is kept.
-    by_seller = durable(per_product.join(products.select("product_id", "seller_id", "category"), "product_id")
-                        .groupBy("seller_id", "category").agg(*[F.sum(c).alias(c) for c in measures]))
+    measures = {"items_delivered": "sold_rows", "items_returned": "sold_back", "not_as_described_returns": "sold_misdescribed"}
+    # Read twice below; one row per seller and category is kept.
+    by_seller = stored(per_product.where("sold_rows > 0").join(products.select("product_id", "seller_id", "category"), "product_id")
+                       .groupBy("seller_id", "category").agg(*[F.sum(c).alias(name) for name, c in measures.items()]),
+                       "seller_returns")
     by_category = by_seller.groupBy("category").agg(
         F.sum("items_returned").alias("_returned"), F.sum("items_delivered").alias("_delivered"))
 
@@ -338,6 +335,7 @@ def build(clean: Mapping[str, DataFrame], fact: DataFrame, dim: DataFrame,
     """All nineteen views by name."""
     items, products, returns = clean["order_items"], clean["products"], clean["returns"]
     rfm_view = rfm(fact, rules)
+    per_product = stored(product_returns(items, fact, returns, rules), "product_returns")
     return {
         "headline_kpis": headline_kpis(fact), "monthly_kpis": monthly_kpis(fact), "daily_orders": daily_orders(fact),
         "payment_mix": payment_mix(fact), "rto_drivers": rto_drivers(fact, rules), "rto_by_tier": rto_by_tier(fact),
@@ -345,8 +343,8 @@ def build(clean: Mapping[str, DataFrame], fact: DataFrame, dim: DataFrame,
         "delivery_monthly": delivery_monthly(fact, rules), "first_order_experience": first_order_experience(dim),
         "cohort_retention": cohort_retention(fact, dim, rules), "acquisition_quality": acquisition_quality(dim),
         "channel_quality": channel_quality(dim),
-        "returns_by_category": returns_by_category(items, products, fact, returns, rules),
-        "seller_returns": seller_returns(items, products, fact, returns, clean["sellers"], rules),
+        "returns_by_category": returns_by_category(per_product, products, rules),
+        "seller_returns": seller_returns(per_product, products, clean["sellers"], rules),
         "rfm": rfm_view, "rfm_summary": rfm_summary(rfm_view), "ab_test": ab_test(clean["checkout_sessions"]),
         "city_tier_growth": city_tier_growth(fact),
     }

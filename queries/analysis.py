@@ -156,9 +156,13 @@ BY_CATEGORY = f"""by_category AS (
     USING (category))"""
 
 
-def by_category(spark, folder):
+def product_returns(spark, folder):
     t = functools.partial(star.table, spark, folder)
-    return views.returns_by_category(t("order_items"), t("products"), star.facts(spark, folder), t("returns"), R)
+    return views.product_returns(t("order_items"), star.facts(spark, folder), t("returns"), R)
+
+
+def by_category(spark, folder):
+    return views.returns_by_category(product_returns(spark, folder), star.table(spark, folder, "products"), R)
 
 
 query("returns_by_category", "E14", s.on_fact("SELECT * FROM by_category", BY_CATEGORY))(by_category)
@@ -181,8 +185,8 @@ SELLER_RETURNS = (*s.ctes(star.TABLES, ["sellers"]), """seller_counts AS (
 
 
 def seller_returns(spark, folder):
-    t = functools.partial(star.table, spark, folder)
-    return views.seller_returns(t("order_items"), t("products"), star.facts(spark, folder), t("returns"), t("sellers"), R)
+    return views.seller_returns(product_returns(spark, folder), star.table(spark, folder, "products"),
+                                star.table(spark, folder, "sellers"), R)
 
 
 query("seller_returns", "E15 G7", s.on_fact("SELECT * FROM seller_returns", *SELLER_RETURNS))(seller_returns)

@@ -7,7 +7,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from marketloom.operators.ranking import ROWS_PER_TASK_KEY  # noqa: E402
 from marketloom.session import build_session  # noqa: E402
 
 
@@ -22,13 +21,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-@pytest.fixture
-def bound(spark):
-    """Set how many rows of a group one task may hold."""
-    yield lambda rows: spark.conf.set(ROWS_PER_TASK_KEY, str(rows))
-    spark.conf.unset(ROWS_PER_TASK_KEY)
-
-
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"

@@ -114,7 +114,7 @@ def test_money_totals_are_exact(spark):
         ["0.01", "999999999999.99", "0.07", "1.15", "-3.33", "123456789.01", "0.29", "70000.10"] * 50)]
     rows += [(2, 3, None), (2, None, Decimal("1.00")), (3, None, None)]
     df = spark.createDataFrame(rows, "g int, q int, p decimal(14,2)")
-    got = df.select("g", money.times("q", money.cents("p")).alias("c")).groupBy("g").agg(money.total("c").alias("t"))
+    got = df.select("g", "q", money.cents("p").alias("c")).groupBy("g").agg(money.total_times("q", "c").alias("t"))
     want = df.groupBy("g").agg(F.sum(F.col("q") * F.col("p")).alias("t"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
@@ -126,11 +126,22 @@ def test_money_totals_beyond_64_bits(spark):
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
-def test_a_line_too_large_stops(spark, ansi):
+def test_lines_beyond_64_bits_are_summed(spark, ansi):
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        df = spark.createDataFrame([(2 ** 31 - 1, Decimal("999999999999.99"))], "q int, p decimal(14,2)")
-        with pytest.raises(Exception, match="order line too large"):
-            df.select(money.times("q", money.cents("p"))).collect()
+        huge, usual = (2 ** 31 - 1, Decimal("999999999999.99")), (3, Decimal("1.10"))
+        for rows in ([huge], [huge, usual, huge, (None, Decimal(1))], [usual]):
+            df = spark.createDataFrame(rows, "q int, p decimal(14,2)")
+            got = df.select("q", money.cents("p").alias("c")).agg(money.total_times("q", "c")).first()[0]
+            assert got == sum(q * p for q, p in rows if q is not None)
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+@pytest.mark.parametrize("part, whole, want", [
+    (5000, 100_000_001, "0.00"), (500_000, 10_000_000_001, "0.00"), (5000, 99_999_999, "0.01"), (1, 20_000, "0.01"),
+    (-1, 20_000, "-0.01"), (-1, 20_001, "0.00"), (1, -20_000, "-0.01"), (10**13 + 1, 2 * 10**17, "0.01"), (0, 7, "0.00")])
+def test_percent_is_rounded_once(spark, part, whole, want):
+    df = spark.createDataFrame([(part, whole)], "a bigint, b bigint")
+    assert df.select(rates.percent("a", "b")).first()[0] == Decimal(want)
+    assert df.select(rates.rounded_mean(F.col("a") * 100, "b")).first()[0] == Decimal(want)

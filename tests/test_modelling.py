@@ -108,9 +108,9 @@ def test_rfm_segments(spark, rows):
 def test_returns_by_category_keeps_categories_without_returns(spark):
     orders, items, returns, products = _shop(spark)
     fact = mart.order_facts(orders, items, returns, products)
-    none = views.returns_by_category(items, products, fact, returns.where("false")).first()
+    none = views.returns_by_category(views.product_returns(items, fact, returns.where("false")), products).first()
     assert (none.items_delivered, none.items_returned, none.return_rate_pct, none.changed_mind) == (3, 0, 0, None)
-    some = views.returns_by_category(items, products, fact, returns).first()
+    some = views.returns_by_category(views.product_returns(items, fact, returns), products).first()
     assert (some.items_returned, some.changed_mind, some.size_or_fit, some.return_rate_pct) == (1, 1, 0, Decimal("33.33"))
 
 
@@ -124,10 +124,10 @@ def test_seller_flags_need_size_and_distance(spark):
     products = df.select("product_id", F.col("product_id").alias("seller_id"),
                          F.substring_index("product_id", "-", 1).alias("category")).distinct()
     returns = df.where("back").select(F.col("order_item_id").alias("return_id"), "order_item_id",
-                                      F.lit("Not as described").alias("return_reason"))
+                                      F.lit("Not as described").alias("return_reason"), F.lit(1).alias("refund_amount"))
     fact = spark.createDataFrame([("O", "Delivered")], "order_id string, order_status string")
     sellers = products.select("seller_id", F.col("seller_id").alias("seller_name"))
-    got = {r.seller_id: r for r in views.seller_returns(items, products, fact, returns, sellers).collect()}
+    got = {r.seller_id: r for r in views.seller_returns(views.product_returns(items, fact, returns), products, sellers).collect()}
     assert [got[f"{c}-S"].flagged for c in ("small", "even", "big")] == [False, False, True]
     assert got["small-S"].z_score > 3 and got["even-S"].z_score == 0
     assert got["big-S"].not_as_described_returns == 40
@@ -137,7 +137,7 @@ def test_seller_without_variance_has_no_z(spark):
     df = spark.createDataFrame([("I1", "P", "O")], "order_item_id string, product_id string, order_id string")
     products = spark.createDataFrame([("P", "S", "Fashion")], "product_id string, seller_id string, category string")
     fact = spark.createDataFrame([("O", "Delivered")], "order_id string, order_status string")
-    returns = spark.createDataFrame([], "return_id string, order_item_id string, return_reason string")
+    returns = spark.createDataFrame([], "return_id string, order_item_id string, return_reason string, refund_amount int")
     sellers = spark.createDataFrame([("S", "n")], "seller_id string, seller_name string")
-    got = views.seller_returns(df, products, fact, returns, sellers).first()
+    got = views.seller_returns(views.product_returns(df, fact, returns), products, sellers).first()
     assert (got.z_score, got.flagged) == (None, False)

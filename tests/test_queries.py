@@ -26,17 +26,6 @@ def test_query_equals_sql(name, spark, sf_dir, duck):
     assert compare.mismatch(ALL[name].run(spark, sf_dir), duck, ALL[name].sql) is None
 
 
-# Queries with a distributed way for groups that no single task could hold.
-SPREAD = ("fact_orders", "order_seq", "rfm", "rfm_summary", "customer_id_map", "canonical_documents", "reattribute",
-          "fill_from_parent", "clean_orders", "seller_returns", "returns_by_category", "dim_customers")
-
-
-@pytest.mark.parametrize("name", SPREAD)
-def test_distributed_way_equals_sql(name, spark, bound, sf_dir, duck):
-    bound(2)
-    assert compare.mismatch(ALL[name].run(spark, sf_dir), duck, ALL[name].sql) is None
-
-
 def test_contract(spark):
     entry = importlib.import_module("__spark_entry__")
     assert set(entry.oracle_sql()) >= set(ALL) and set(entry.queries()) >= set(ALL)

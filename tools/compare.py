@@ -2,8 +2,8 @@
 
     python tools/compare.py /root/testdata/sf0.01 [query ...]
 
-COMPARE_CONF sets session settings, for instance spark.sql.autoBroadcastJoinThreshold=-1 or
-spark.marketloom.rowsPerTask=50 to take the ways meant for large data.
+COMPARE_CONF sets session settings, for instance spark.sql.autoBroadcastJoinThreshold=-1 for the joins
+that large data takes.
 """
 
 from __future__ import annotations
