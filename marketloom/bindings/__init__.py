@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
@@ -27,15 +26,9 @@ def padded(number: str, width: int) -> str:
     return f"LPAD(CAST({number} AS STRING), {width}, '0')"
 
 
-_schemas: dict[str, StructType] = {}
-
-
 def base_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One given table. Its footer is read for the schema once, not for every query."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """One given table."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def base_tables(spark: SparkSession, folder: str, names: Iterable[str] = BASE_TABLES) -> dict[str, DataFrame]:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marketloom.bindings import derive, pick
 from marketloom.plans import mart
 from marketloom.rules import Rules
+from marketloom.session import stored
 
 RULES = dataclasses.replace(Rules(), as_of=dt.date(2001, 8, 1), value_band=Decimal(4000000), watched_courier="Courier A",
                             seller_z=2.0, seller_min_items=10)
@@ -98,3 +99,9 @@ def numbered_facts(spark: SparkSession, folder: str) -> DataFrame:
 def dimension(spark: SparkSession, folder: str, fact: DataFrame | None = None) -> DataFrame:
     fact = numbered_facts(spark, folder) if fact is None else fact
     return mart.dim_customers(table(spark, folder, "customers"), fact, RULES)
+
+
+def stored_mart(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The fact and the dimension, each built once and kept, for what reads them several times."""
+    fact = stored(numbered_facts(spark, folder), "fact")
+    return fact, stored(dimension(spark, folder, fact), "dimension")

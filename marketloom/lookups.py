@@ -76,14 +76,25 @@ SEASONS = (
 )
 
 
+def _listed(spark: SparkSession, rows, columns: str) -> DataFrame:
+    """Rows written out in the plan, so that the optimizer knows how many there are."""
+    def literal(v) -> str:
+        if isinstance(v, dt.date):
+            return f"DATE '{v.isoformat()}'"
+        return str(v) if isinstance(v, int) else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    values = ", ".join("(" + ", ".join(map(literal, r)) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS listed({columns})")
+
+
 def city_map(spark: SparkSession) -> DataFrame:
     """A2: one row per known spelling, pointing at the real city, its province and its tier."""
     rows = [(spelling, city, province, tier)
             for city, (province, tier, spellings) in CITIES.items() for spelling in spellings]
-    return spark.createDataFrame(rows, "raw_key string, city string, province string, city_tier int")
+    return _listed(spark, rows, "raw_key, city, province, city_tier")
 
 
 def calendar(spark: SparkSession, seasons=SEASONS) -> DataFrame:
     """Named date ranges, both ends included."""
     rows = [(name, dt.date.fromisoformat(a), dt.date.fromisoformat(b)) for name, a, b in seasons]
-    return spark.createDataFrame(rows, "event string, starts date, ends date")
+    return _listed(spark, rows, "event, starts, ends")

@@ -46,10 +46,10 @@ def drop_orphans(child: DataFrame, parent: DataFrame, key: str, carry: Sequence[
 def standardise(df: DataFrame, column: str, lookup: DataFrame, lookup_key: str = "raw_key") -> DataFrame:
     """Replace a spelling by the lookup's columns; unknown spellings give NULL.
 
-    The lookup is a hand-kept list of spellings, so it is always broadcast.
+    A list of spellings is small, and the optimizer broadcasts it once it has seen that it is.
     """
     return (df.withColumn("_key", norm(column)).drop(column)
-            .join(F.broadcast(lookup.withColumnRenamed(lookup_key, "_key")), "_key", "left").drop("_key"))
+            .join(lookup.withColumnRenamed(lookup_key, "_key"), "_key", "left").drop("_key"))
 
 
 def fill_from_parent(df: DataFrame, parent: DataFrame, key: str, spread_by: str,

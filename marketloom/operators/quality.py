@@ -85,8 +85,13 @@ class QualityGateError(RuntimeError):
     """At least one check failed."""
 
 
+def failed(checks: DataFrame) -> DataFrame:
+    """the checks that a gate does not let pass, by name."""
+    return checks.where(F.col("result") == "FAIL").orderBy("check_name")
+
+
 def gate(checks: DataFrame) -> None:
     """raise if any check failed. The checks table has one row per check."""
-    failed = [r.check_name for r in checks.where(F.col("result") == "FAIL").select("check_name").collect()]
-    if failed:
-        raise QualityGateError(f"{len(failed)} quality check(s) failed: {', '.join(sorted(failed))}")
+    names = [r.check_name for r in failed(checks).collect()]
+    if names:
+        raise QualityGateError(f"{len(names)} quality check(s) failed: {', '.join(names)}")

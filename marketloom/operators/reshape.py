@@ -26,9 +26,9 @@ def centred_mean(df: DataFrame, order: str, column: str, name: str, n: int = 7)
     return df.withColumn(name, F.when(full, F.avg(column).over(around)))
 
 
-def peak_row(df: DataFrame, column: str, tie_break: str) -> DataFrame:
+def peak_row(df: DataFrame, column: str, *tie_break: str) -> DataFrame:
     """H3: the row with the highest value, the first one on ties."""
-    return df.orderBy(F.desc_nulls_last(column), F.asc(tie_break)).limit(1)
+    return df.orderBy(F.desc_nulls_last(column), *[F.asc(c) for c in tie_break]).limit(1)
 
 
 def peak_to_median(df: DataFrame, column: str, mean: str, name: str = "peak_to_median") -> DataFrame:
@@ -39,10 +39,10 @@ def peak_to_median(df: DataFrame, column: str, mean: str, name: str = "peak_to_m
 def annotate_calendar(df: DataFrame, date: str, calendar: DataFrame) -> DataFrame:
     """H5: each day with the named ranges it lies in; days outside all ranges keep NULL.
 
-    The calendar is a hand-kept list, so its ranges are listed day by day and matched by equality.
+    Ranges are listed day by day and matched by equality; the optimizer sees how large that is.
     """
     days = calendar.select("event", F.explode(F.sequence("starts", "ends")).alias(date))
-    return df.join(F.broadcast(days), date, "left")
+    return df.join(days, date, "left")
 
 
 def pivot_values(df: DataFrame, row: str, column: str, value: str, values: Mapping[object, str],

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marketloom.operators.quality import gate
 from marketloom.plans import checks, clean_layer, mart, profile, reports, views
 from marketloom.rules import DEFAULT_RULES, Rules
-from marketloom.session import durable, run_at_once
+from marketloom.session import discard, mark, run_at_once
 from marketloom.sources.exports import export_view, export_views
 from marketloom.sources.extracts import read_extracts
 from marketloom.sources.layers import Warehouse
@@ -31,8 +31,10 @@ def rebuild(spark: SparkSession, raw: str | Mapping[str, DataFrame], out: str, r
 
     ``raw`` is a folder of extracts or the extracts themselves. Each layer is stored, so later
     steps read Parquet instead of repeating earlier ones, and a lost executor repeats one step at
-    most. Exports are written before the gate, so a failed run can be looked into.
+    most. Views are stored in the mart, and what was kept on the way is deleted at the end. Exports are
+    written before the gate, so a failed run can be looked into.
     """
+    before = mark()
     house = Warehouse(spark, f"{out.rstrip('/')}/warehouse", prefix)
     house.ensure_layers()
     exports = f"{out.rstrip('/')}/exports"
@@ -47,13 +49,13 @@ def rebuild(spark: SparkSession, raw: str | Mapping[str, DataFrame], out: str, r
         "mart", "fact_orders", partition_by=["order_month"])
     dim = house.write_layer(mart.dim_customers(clean["customers"], fact, rules), "mart", "dim_customers")
 
-    results = views.build(clean, fact, dim, rules)
-    house.register_views(results)
+    results = house.save_views(views.build(clean, fact, dim, rules))
+    checked = house.write_layer(checks.build(clean, fact, rules), "mart", "quality_checks")
+    discard(spark, before)
 
-    checked = durable(checks.build(clean, fact, rules))
     export_view(checked, exports, "quality_checks")
-    export_views(results, exports)
-    export_views({name: df for name, df in reports.build(results, rules).items() if name == "ab_test_results"}, exports)
+    export_views(results, exports, in_parts=views.PER_CUSTOMER)
+    export_view(reports.ab_results(results["ab_test"]), exports, "ab_test_results")
     if strict:
         gate(checked)
     return Rebuilt(clean, fact, dim, results, checked)

@@ -37,6 +37,16 @@ def courier_matrix(card: DataFrame) -> DataFrame:
     return r.pivot_values(card.na.drop(subset=["city_tier"]), "courier", "city_tier", "late_rate_pct", tiers)
 
 
+def worst_courier_and_tier(card: DataFrame) -> DataFrame:
+    """H3: the courier and tier with the highest late rate."""
+    return r.peak_row(card.na.drop(subset=["city_tier"]), "late_rate_pct", "courier", "city_tier")
+
+
+def channel_bars(channels: DataFrame) -> DataFrame:
+    """Channels, best repeat rate first."""
+    return channels.orderBy(F.desc_nulls_last("repeat_90d_pct"), "acquisition_channel")
+
+
 def cohort_matrix(retention: DataFrame, until: dt.date, offsets=range(1, 7)) -> DataFrame:
     """H8: cohorts up to a month, one column per month after the first order."""
     kept = retention.where((F.col("cohort_month") <= F.lit(until)) & F.col("months_since_first").isin(*offsets))
@@ -98,10 +108,11 @@ def build(views: Mapping[str, DataFrame], rules: Rules = DEFAULT_RULES,
         "payment_mix_wide": payment_mix_wide(views["payment_mix"]),
         "refusal_ratio": refusal_ratio(views["rto_drivers"]),
         "courier_matrix": courier_matrix(views["courier_scorecard"]),
+        "worst_courier_and_tier": worst_courier_and_tier(views["courier_scorecard"]),
         "latest_month": r.peak_row(views["delivery_monthly"], "late_rate_pct", "order_month"),
         "first_order_bars": in_listed_order(views["first_order_experience"], "first_order_experience", EXPERIENCE_ORDER),
         "cohort_matrix": matrix.orderBy("cohort_month"), "mean_month1": mean_month1(matrix),
-        "channel_bars": views["channel_quality"].orderBy(F.desc_nulls_last("repeat_90d_pct"), "acquisition_channel"),
+        "channel_bars": channel_bars(views["channel_quality"]),
         "spend_gap": spend_gap(views["acquisition_quality"]),
         "reason_shares": reason_shares(views["returns_by_category"], rules),
         "rfm_shares": rfm_shares(views["rfm_summary"]), "tier_periods": tier_periods(views["city_tier_growth"]),

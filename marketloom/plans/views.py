@@ -20,6 +20,10 @@ from marketloom.operators.skew import spread_join
 from marketloom.rules import DEFAULT_RULES, Rules
 from marketloom.session import stored
 
+#: Views with a row for each customer or seller; all others are small.
+PER_CUSTOMER = ("rfm", "seller_returns")
+
+
 # --- shared measures --------------------------------------------------------------------------
 
 def _rows() -> Column:

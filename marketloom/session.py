@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
@@ -44,31 +46,49 @@ def durable_root(spark: SparkSession) -> str:
     return f"{warehouse}/_checkpoints"
 
 
-def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A new, unused folder name below the durable root."""
-    return f"{durable_root(spark)}/marketloom-{label}-{uuid.uuid4().hex}"
-
+_made: list[str] = []
 
-def durable(df: DataFrame) -> DataFrame:
-    """Evaluate once and keep the rows on shared storage, so that a lost executor changes nothing.
 
-    Needed wherever a value is tied to where a row happened to lie (its place in a sort) or where
-    one result feeds several later passes. Use ``stored`` for wide tables.
-    """
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(durable_root(spark))
-    return df.checkpoint(eager=True)
+def fresh_folder(spark: SparkSession, label: str) -> str:
+    """A new, unused folder name below the durable root. ``discard`` deletes it."""
+    path = f"{durable_root(spark)}/marketloom-{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def stored(df: DataFrame, label: str = "table") -> DataFrame:
-    """Like ``durable`` but as Parquet: later passes read only the columns they need, and the
-    optimizer knows the size of what it joins."""
+    """Evaluate once and keep the rows as Parquet on shared storage, so that a lost executor changes nothing.
+
+    Needed wherever a value is tied to where a row happened to lie (its place in a sort) or where one result
+    feeds several later passes. These read only the columns they need, and the optimizer knows the size of what it
+    joins.
+    """
     path = fresh_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def mark() -> int:
+    """How many intermediate folders there are so far, for ``discard``."""
+    return len(_made)
+
+
+def discard(spark: SparkSession, since: int = 0) -> None:
+    """Delete the intermediate folders made after ``since``. What still reads them must be done."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    while len(_made) > since:
+        path = hadoop(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _discard_at_exit() -> None:
+    if SparkContext._active_spark_context is not None:
+        discard(SparkSession.builder.getOrCreate())
+
+
+atexit.register(_discard_at_exit)
+
+
 def run_at_once(job: Callable, inputs: Iterable, at_once: int = 4) -> list:
     """Submit independent Spark jobs from a few driver threads; results in input order."""
     with ThreadPoolExecutor(at_once) as pool:

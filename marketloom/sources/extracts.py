@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from marketloom.sources.exports import HEADER
+
 # Columns of the seven extracts, all text.
 RAW_COLUMNS = {
     "customers": "customer_id email signup_date city acquisition_channel device_type",
@@ -43,8 +45,15 @@ class MissingExportError(FileNotFoundError):
 
 
 def read_export(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
-    """An exported result, with its known types."""
+    """An exported result, in one file or in parts, with its known types."""
+    path = f"{folder.rstrip('/')}/{name}"
     try:
-        return spark.read.csv(f"{folder.rstrip('/')}/{name}", schema=schema, header=True, escape='"', mode="FAILFAST")
+        spark.read.text(path)
     except AnalysisException as missing:
         raise MissingExportError(f"{name} is not in {folder}; run the rebuild first") from missing
+    try:
+        spark.read.text(f"{path}/{HEADER}")
+        in_parts = True
+    except AnalysisException:
+        in_parts = False
+    return spark.read.csv(path, schema=schema, header=not in_parts, escape='"', mode="FAILFAST")

@@ -1,20 +1,36 @@
-"""Stored layers and registered views."""
+"""Stored layers and views."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketloom.session import run_at_once
+
 LAYERS = ("raw", "clean", "mart")
 VIEW_PREFIX = "v_"
 
 
+class LayerClashError(ValueError):
+    """A database of that name holds the layer of another warehouse."""
+
+
+def _place(uri: str) -> str:
+    """A location without scheme and host, for comparison."""
+    return "/" + re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", uri).strip("/")
+
+
 @dataclass(frozen=True)
 class Warehouse:
-    """Layers as databases of Parquet tables below one shared folder."""
+    """Layers as databases of Parquet tables below one shared folder.
+
+    Every table is written below ``root``, whatever the catalog holds. Two warehouses on one catalog need
+    different prefixes.
+    """
 
     spark: SparkSession
     root: str
@@ -23,11 +39,17 @@ class Warehouse:
     def database(self, layer: str) -> str:
         return f"{self.prefix}{layer}"
 
+    def folder(self, layer: str, name: str = "") -> str:
+        return f"{self.root.rstrip('/')}/{layer}" + f"/{name}" * bool(name)
+
     def ensure_layers(self) -> None:
-        """A4."""
+        """A4. Raises if a database of this prefix lies elsewhere."""
         for layer in LAYERS:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} "
-                           f"LOCATION '{self.root.rstrip('/')}/{layer}'")
+            name = self.database(layer)
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{self.folder(layer)}'")
+            found = self.spark.catalog.getDatabase(name).locationUri
+            if _place(found) != _place(self.folder(layer)):
+                raise LayerClashError(f"database {name} lies in {found}; choose another prefix for {self.root}")
 
     def write_layer(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """A3: store a table in place of any earlier one and hand back the stored table.
@@ -36,21 +58,46 @@ class Warehouse:
         execution splits values that are too large for one task.
         """
         out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
-        writer = out.write.mode("overwrite").format("parquet")
+        writer = out.write.mode("overwrite").format("parquet").option("path", self.folder(layer, name))
         table = f"{self.database(layer)}.{name}"
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
         return self.spark.table(table)
 
+    def drop(self) -> None:
+        """Remove the databases of this prefix with all that is in them."""
+        for layer in LAYERS:
+            self.spark.sql(f"DROP DATABASE IF EXISTS {self.database(layer)} CASCADE")
+
     def register_views(self, views: Mapping[str, DataFrame]) -> None:
-        """A5: every view under a name SQL can use."""
+        """A5: every view under a name that SQL can use in this session, evaluated when it is read."""
         for name, df in views.items():
             df.createOrReplaceTempView(VIEW_PREFIX + name)
 
+    def save_views(self, views: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """A5, kept: every view's rows as a table of the mart, and under a name that SQL can use.
+
+        A later session gets the names back from the same root with ``load_views``.
+        """
+        kept = dict(zip(views, run_at_once(lambda item: self.write_layer(item[1], "mart", VIEW_PREFIX + item[0]), views.items())))
+        self.register_views(kept)
+        return kept
+
+    def load_views(self, names: Iterable[str]) -> dict[str, DataFrame]:
+        """Views that were saved below this root, by any session, registered again."""
+        kept = {name: self.spark.read.parquet(self.folder("mart", VIEW_PREFIX + name)) for name in names}
+        self.register_views(kept)
+        return kept
+
     def list_objects(self) -> DataFrame:
         """Tables by layer, then views, by name."""
-        rows = [(place, layer, t.name, t.tableType) for place, layer in enumerate(LAYERS)
+        def kind(layer: str, name: str, found: str) -> tuple[int, str, str, str]:
+            view = layer == "mart" and name.startswith(VIEW_PREFIX)
+            return (len(LAYERS) if view else LAYERS.index(layer), layer, name, "VIEW" if view else found)
+
+        rows = [kind(layer, t.name, t.tableType) for layer in LAYERS
                 for t in self.spark.catalog.listTables(self.database(layer)) if not t.isTemporary]
-        rows += [(len(LAYERS), "mart", t.name, "VIEW") for t in self.spark.catalog.listTables()
-                 if t.isTemporary and t.name.startswith(VIEW_PREFIX)]
+        saved = {name for _, _, name, _ in rows}
+        rows += [kind("mart", t.name, "VIEW") for t in self.spark.catalog.listTables()
+                 if t.isTemporary and t.name.startswith(VIEW_PREFIX) and t.name not in saved]
         found = self.spark.createDataFrame(rows, "_place int, layer string, object_name string, kind string")
         return found.orderBy("_place", "object_name").drop("_place")

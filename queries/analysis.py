@@ -113,8 +113,8 @@ RETENTION = f"""retention AS (
 
 
 def retention(spark, folder):
-    fact = star.numbered_facts(spark, folder)
-    return views.cohort_retention(fact, star.dimension(spark, folder, fact), R)
+    fact, dim = star.stored_mart(spark, folder)
+    return views.cohort_retention(fact, dim, R)
 
 
 query("cohort_retention", "E11", s.on_dim("SELECT * FROM retention", RETENTION))(retention)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marketloom.bindings import messy, star
 from marketloom.functions.parsing import LEGACY_TIMESTAMP
 from marketloom.operators import profiling as p
+from marketloom.operators.quality import failed
 from marketloom.plans import checks, mart, profile
 from marketloom.plans import clean_layer as layer
 from marketloom.session import stored
@@ -68,13 +69,13 @@ def _(spark, folder):
     return p.count_duplicate_rows(messy.extract(spark, folder, "checkout_sessions"), "repeated sessions")
 
 
-@query("count_orphans", "C16", """
-    SELECT 'lines without order' AS check_name, COUNT(*) FILTER (o_orderkey IS NULL) AS rows_affected
-    FROM lineitem LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'O') ON o_orderkey = l_orderkey""")
+@query("count_orphans", "C16", s.on_raw("""
+    SELECT 'returns without item' AS check_name, COUNT(*) FILTER (i.order_item_id IS NULL) AS rows_affected
+    FROM raw_returns r LEFT JOIN (SELECT DISTINCT order_item_id FROM raw_order_items) i USING (order_item_id)""",
+    "raw_returns", "raw_order_items"))
 def _(spark, folder):
-    lines = star.table(spark, folder, "order_items").select("order_id")
-    closed = star.table(spark, folder, "clean_orders").where(F.col("order_status").isin("Delivered", "Returned to Origin"))
-    return p.count_orphans(lines, closed, "order_id", "lines without order")
+    return p.count_orphans(messy.extract(spark, folder, "returns"), messy.extract(spark, folder, "order_items"),
+                           "order_item_id", "returns without item")
 
 
 query("value_inventory", "C21", s.on_raw("""
@@ -141,8 +142,8 @@ HISTORY = ["customer_id", "customer_order_seq", "order_date", "city", "payment_g
                         "delivery_days:b is_late is_rto") + """ FROM fact
     WHERE customer_id = (SELECT MIN(customer_id) FROM dim WHERE orders >= 5) ORDER BY customer_order_seq LIMIT 20"""))
 def _(spark, folder):
-    fact = star.numbered_facts(spark, folder)
-    return p.entity_history(fact, star.dimension(spark, folder, fact), "customer_id", F.col("orders") >= 5, HISTORY,
+    fact, dim = star.stored_mart(spark, folder)
+    return p.entity_history(fact, dim, "customer_id", F.col("orders") >= 5, HISTORY,
                             "customer_order_seq", 20)
 
 
@@ -195,3 +196,10 @@ def quality(spark, folder):
 
 query("quality_checks", "F1 F2 F3 F4 F5 F6 F7 F8 F9 F10 F11 F12 F13 F14 F15 F16 F17 F18 F19",
       s.answer(VERDICT, s.ALL_CLEAN, NET, f"checks AS ({CHECKS})"))(quality)
+
+
+@query("failing_checks", "F20", s.answer(
+    f"SELECT * FROM ({VERDICT}) WHERE result = 'FAIL' ORDER BY check_name", s.ALL_CLEAN, NET, f"checks AS ({CHECKS})"))
+def _(spark, folder):
+    """What the gate raises for."""
+    return failed(quality(spark, folder))

@@ -56,6 +56,10 @@ query("latest_month", "H3", s.on_fact(
     "SELECT * FROM delivery ORDER BY late_rate_pct DESC NULLS LAST, order_month LIMIT 1", a.DELIVERY))(
     lambda spark, folder: r.peak_row(views.delivery_monthly(star.facts(spark, folder), star.RULES), "late_rate_pct", "order_month"))
 
+query("worst_courier_and_tier", "H3", s.on_fact(
+    "SELECT * FROM card WHERE city_tier IS NOT NULL ORDER BY late_rate_pct DESC NULLS LAST, courier, city_tier LIMIT 1", a.CARD))(
+    lambda spark, folder: reports.worst_courier_and_tier(views.courier_scorecard(star.facts(spark, folder))))
+
 query("peak_to_median", "H4", s.on_fact(
     "SELECT ROUND(MAX(orders) / MEDIAN(avg_7d), 6) AS peak_to_median FROM smoothed", *SMOOTHED))(
     lambda spark, folder: rounded(r.peak_to_median(smoothed(spark, folder), "orders", "avg_7d"), "peak_to_median"))
@@ -121,6 +125,10 @@ query("first_order_bars", "H13", s.on_dim("SELECT * FROM experience", a.EXPERIEN
     lambda spark, folder: reports.in_listed_order(views.first_order_experience(star.dimension(spark, folder)),
                                                   "first_order_experience", reports.EXPERIENCE_ORDER))
 
+query("channel_bars", "H13", s.on_dim(
+    "SELECT * FROM channels ORDER BY repeat_90d_pct DESC NULLS LAST, acquisition_channel", a.CHANNELS))(
+    lambda spark, folder: reports.channel_bars(views.channel_quality(star.dimension(spark, folder))))
+
 query("spend_gap", "H14", s.on_dim("""
     SELECT ROUND(1 - MAX(avg_net_revenue) FILTER (acquisition LIKE '%code') / MAX(avg_net_revenue) FILTER (acquisition NOT LIKE '%code'), 6)
         AS gap FROM quality""", a.QUALITY))(

@@ -8,10 +8,11 @@ import pytest
 from marketloom.bindings import messy
 from marketloom.operators.quality import QualityGateError
 from marketloom.plans.rebuild import rebuild
-from marketloom.session import durable_root, fresh_folder
+from marketloom.session import discard, durable_root, fresh_folder, mark
 from marketloom.sources.exports import export_view
 from marketloom.sources.extracts import RAW_COLUMNS, MissingExportError, read_export, read_raw
-from marketloom.sources.layers import Warehouse
+from marketloom.sources.layers import LayerClashError, Warehouse
+from queries import load_all
 
 HEADER = "seller_id,seller_name,seller_city,joined_date,seller_type"
 
@@ -36,15 +37,24 @@ def test_missing_export(spark, tmp_path):
 
 
 def _bytes(folder):
-    return b"".join(open(os.path.join(folder, f), "rb").read() for f in sorted(os.listdir(folder)) if f.startswith("part-"))
+    parts = [p for sub in ("_header", ".") if (folder / sub).is_dir() for p in sorted((folder / sub).glob("part-*"))]
+    return b"".join(p.read_bytes() for p in parts), len(parts)
 
 
-def test_exports_are_byte_stable(spark, tmp_path):
+@pytest.mark.parametrize("in_parts", [False, True])
+def test_exports_are_byte_stable(spark, tmp_path, in_parts):
     df = spark.createDataFrame([(3, "c", True), (1, None, None), (2, " b,", False)] * 50, "a int, b string, c boolean")
-    one = export_view(df.repartition(7), str(tmp_path), "one")
-    two = export_view(df.repartition(3), str(tmp_path), "two")
-    assert _bytes(one) == _bytes(two)
-    assert _bytes(one).decode().splitlines()[:2] == ["a,b,c", "1,,"]
+    keep = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(keep, "false")  # small results then come in several parts, as large ones would
+    try:
+        one = export_view(df.repartition(7), str(tmp_path), "one", in_parts)
+        two = export_view(df.repartition(3), str(tmp_path), "two", in_parts)
+    finally:
+        spark.conf.set(keep, "true")
+    (first, parts), (second, _) = _bytes(tmp_path / "one"), _bytes(tmp_path / "two")
+    assert first == second and (parts > 2 if in_parts else parts == 1) and one != two
+    lines = first.decode().splitlines()
+    assert lines[:2] == ["a,b,c", "1,,"] and len(lines) == 151
     back = read_export(spark, str(tmp_path), "one", df.selectExpr("a", "b", "cast(c as int) c").schema)
     assert sorted(map(tuple, back.collect()), key=str) == sorted([(3, "c", 1), (1, None, None), (2, " b,", 0)] * 50, key=str)
 
@@ -102,3 +112,41 @@ def test_layer_is_replaced(spark, rows):
     house.write_layer(df, "mart", "t", ["p"])
     again = house.write_layer(df.where("n = 2"), "mart", "t", ["p"])
     assert rows(again) == [(2, "b")]
+
+
+def test_two_warehouses_keep_apart(spark, tmp_path, rows):
+    one, two = (Warehouse(spark, str(tmp_path / n), f"{n}_") for n in ("one", "two"))
+    for house, n in ((one, 1), (two, 2)):
+        house.ensure_layers()
+        house.write_layer(spark.range(n), "mart", "t")
+        house.ensure_layers()
+    assert [spark.read.parquet(str(tmp_path / n / "mart" / "t")).count() for n in ("one", "two")] == [1, 2]
+    with pytest.raises(LayerClashError):
+        Warehouse(spark, str(tmp_path / "three"), "one_").ensure_layers()
+    # even without asking, a table lands below the root it was given
+    Warehouse(spark, str(tmp_path / "four"), "one_").write_layer(spark.range(4), "mart", "u")
+    assert spark.read.parquet(str(tmp_path / "four" / "mart" / "u")).count() == 4
+
+
+def test_views_come_back_in_a_later_session(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path), "later_")
+    house.ensure_layers()
+    house.save_views({"some": spark.range(3)})
+    spark.catalog.dropTempView("v_some")
+    other = Warehouse(spark.newSession(), str(tmp_path), "later_")
+    other.load_views(["some"])
+    assert other.spark.sql("SELECT SUM(id) FROM v_some").first()[0] == 3
+
+
+def test_nothing_is_left_behind(spark, sf_dir, tmp_path):
+    root = durable_root(spark)
+    os.makedirs(root, exist_ok=True)
+    before, databases = set(os.listdir(root)), len(spark.catalog.listDatabases())
+    done = rebuild(spark, messy.extracts(spark, sf_dir), str(tmp_path / "out"), messy.RULES, prefix="left_", strict=False)
+    assert set(os.listdir(root)) == before and len(spark.catalog.listDatabases()) == databases + 3
+    assert done.views["rfm"].count() > 0  # results do not depend on what was deleted
+    at = mark()
+    load_all()["rfm"].run(spark, sf_dir).count()
+    assert len(os.listdir(root)) > len(before)
+    discard(spark, at)
+    assert set(os.listdir(root)) == before
