@@ -6,17 +6,20 @@ payload, under fresh headers. Reading joins each revisit to the response it refe
 
 Archives are written by Spark's own committer as text files whose lines end in the last byte of a
 record, so they lie wherever Spark can write, and a lost task leaves nothing behind. The files are
-plain WARC: records one after the other, without compression.
+WARC, records one after the other, each file packed with gzip as a whole (or not at all, if asked).
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
 import math
 import uuid
 from collections.abc import Iterable, Iterator
 from datetime import datetime, timezone
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,19 +70,23 @@ def build(page_id: object, uri: str | None, payload: bytes, sha1: str, original:
     return "\r\n".join(head).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
 
 
-def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+def parse(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (names in lower case) and block of each record; blocks are taken by their stated length."""
-    at = 0
-    while at < len(content):
-        end = content.index(b"\r\n\r\n", at)
-        first, *lines = content[at:end].decode("utf-8", "replace").split("\r\n")
-        if not first.startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        start = end + 4
-        stop = start + int(head["content-length"])
-        yield head, content[start:stop]
-        at = stop + 4
+    while first := stream.readline():
+        if not first.startswith(b"WARC/"):
+            raise ValueError(f"no record where one should start: {first[:40]!r}")
+        head = {}
+        while (line := stream.readline().rstrip(b"\r\n")):
+            name, _, value = line.decode("utf-8", "replace").partition(":")
+            head[name.strip().lower()] = value.strip()
+        block = stream.read(int(head["content-length"]))
+        stream.read(4)  # the two closing line ends
+        yield head, block
+
+
+def opened(content: bytes) -> BinaryIO:
+    """An archive's bytes as a stream, unpacked as it is read."""
+    return gzip.GzipFile(fileobj=io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
 
 
 def originals(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
@@ -98,7 +105,7 @@ def originals(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
 
 def write(pages: DataFrame, path: str, *, min_bytes: int = MIN_BYTES, volume_bytes: int = VOLUME_BYTES,
-          date: str | None = None, id_col: str = "page_id", uri_col: str = "url", payload_col: str = "html") -> None:
+          date: str | None = None, compression: str = "gzip", id_col: str = "page_id", uri_col: str = "url", payload_col: str = "html") -> None:
     """Write a record for each row to archives below ``path``, equal payloads once.
 
     A NULL payload is empty. A row without an id refers to the row of the largest id with its payload; if
@@ -122,7 +129,7 @@ def write(pages: DataFrame, path: str, *, min_bytes: int = MIN_BYTES, volume_byt
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary())], ["value"])
 
     # The line separator is the last byte of each record.
-    ready.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\n").text(path)
+    ready.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.text(path, compression=compression, lineSep="\n")
 
 
 def read(spark: SparkSession, path: str, *, id_type: str = "bigint", with_payload: bool = True) -> DataFrame:
@@ -134,7 +141,7 @@ def read(spark: SparkSession, path: str, *, id_type: str = "bigint", with_payloa
         for batch in batches:
             for content in batch.column("content"):
                 rows, size = [], 0
-                for head, block in parse(content.as_buffer().to_pybytes()):
+                for head, block in parse(opened(content.as_buffer().to_pybytes())):
                     stated = head["warc-payload-digest"].partition(":")[2]
                     response = head["warc-type"] == "response"
                     rows.append((head.get("x-page-id"), head["warc-record-id"], head["warc-type"], head.get("warc-target-uri"),
@@ -163,10 +170,11 @@ def resolve(records: DataFrame) -> DataFrame:
     """Records with the full payload's size (and, where read, the payload) and refers_to: the id of the response
     that a revisit refers to, found by its record id and checked by its digest. A revisit whose response is not among
     the records keeps NULLs."""
-    responses = (records.where("record_type = 'response'")
+    # Kept, so that the join can split a response that very many revisits refer to.
+    responses = stored(records.where("record_type = 'response'")
                  .select(F.col("record_id").alias("refers_id"), F.col("payload_digest").alias("found_digest"),
                          F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("full_bytes"),
-                         F.col("payload").alias("full")).dropDuplicates(["refers_id"]))
+                         F.col("payload").alias("full")).dropDuplicates(["refers_id"]), "responses")
     same = F.col("payload_digest") == F.col("found_digest")
     return (records.join(responses, "refers_id", "left")
             .select("page_id", "record_id", "record_type", "uri",

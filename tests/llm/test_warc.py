@@ -1,7 +1,11 @@
 """WARC: round trips, and the query against grouping by hand."""
 
 import base64
+import gzip
 import hashlib
+import io
+
+import pytest
 
 from marketloom.llm import warc
 from marketloom.llm.queries import QUERIES
@@ -62,12 +66,15 @@ def test_archives_are_deduplicated(spark, tmp_path):
     assert got(warc.resolve(warc.read(spark, str(tmp_path / "twice")))) == want(PAGES)
 
 
-def test_files_are_plain_warc(spark, tmp_path):
-    warc.write(spark.createDataFrame(PAGES, SHAPE), str(tmp_path / "out"), date="2024-01-02T03:04:05Z")
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_files_are_warc(spark, tmp_path, compression):
+    warc.write(spark.createDataFrame(PAGES, SHAPE), str(tmp_path / "out"), date="2024-01-02T03:04:05Z", compression=compression)
     files = sorted((tmp_path / "out").glob("part-*"))
-    heads = [h for f in files for h, _ in warc.parse(f.read_bytes())]
+    plain = [gzip.decompress(f.read_bytes()) if compression == "gzip" else f.read_bytes() for f in files]
+    heads = [h for p in plain for h, _ in warc.parse(io.BytesIO(p))]
     assert len(heads) == len(PAGES) and {h["warc-date"] for h in heads} == {"2024-01-02T03:04:05Z"}
     assert all(h["warc-profile"] == warc.PROFILE for h in heads if h["warc-type"] == "revisit")
+    assert warc.read(spark, str(tmp_path / "out")).count() == len(PAGES)
 
 
 def test_empty(spark, tmp_path):
