@@ -144,13 +144,17 @@ ID_MAP = f"""id_map AS (
                PARTITION BY LOWER(TRIM(email)) ORDER BY {iso_date('signup_date')} NULLS LAST, customer_id) AS customer_id
     FROM raw_customers WHERE customer_id NOT ILIKE 'test%' AND email IS NOT NULL)"""
 
+# A person is an email address; the account that speaks for it is the one with the least (day, id).
 CLEAN_CUSTOMERS = f"""clean_customers AS (
-    SELECT r.customer_id, LOWER(TRIM(r.email)) AS email, {iso_date('r.signup_date')} AS signup_date,
-           m.city, m.province, m.city_tier,
-           {label_case('r.acquisition_channel', lookups.CHANNELS, 'TRIM(r.acquisition_channel)')} AS acquisition_channel,
-           r.device_type
-    FROM raw_customers r LEFT JOIN city_map m ON m.raw_key = LOWER(TRIM(r.city))
-    WHERE r.customer_id IN (SELECT customer_id FROM id_map))"""
+    WITH accounts AS (
+        SELECT *, {iso_date('signup_date')} AS day FROM raw_customers WHERE NOT STARTS_WITH(LOWER(customer_id), 'test')),
+    persons AS (
+        SELECT TRIM(LOWER(email)) AS address, ARG_MIN(accounts, (COALESCE(day, DATE '9999-12-31'), customer_id)) AS a
+        FROM accounts GROUP BY address HAVING address IS NOT NULL)
+    SELECT a.customer_id AS customer_id, address AS email, a.day AS signup_date, city_map.city, province, city_tier,
+           {label_case('a.acquisition_channel', lookups.CHANNELS, 'TRIM(a.acquisition_channel)')} AS acquisition_channel,
+           a.device_type AS device_type
+    FROM persons LEFT JOIN city_map ON raw_key = TRIM(LOWER(a.city)))"""
 
 CLEAN_PRODUCTS = f"""clean_products AS (
     SELECT product_id, product_name,
@@ -194,18 +198,18 @@ CLEAN_ITEMS = """clean_items AS (
     WHERE quantity > 0 AND order_id IN (SELECT order_id FROM clean_orders))"""
 
 CLEAN_RETURNS = f"""clean_returns AS (
-    SELECT r.return_id, r.order_item_id, i.order_id, TRIM(r.return_reason) AS return_reason,
-           {iso_date('r.return_requested_date')} AS return_requested_date,
-           TRY_CAST(r.refund_amount AS DECIMAL(14,2)) AS refund_amount
-    FROM raw_returns r JOIN clean_items i USING (order_item_id))"""
+    SELECT * REPLACE (TRIM(return_reason) AS return_reason, {iso_date('return_requested_date')} AS return_requested_date,
+                      TRY_CAST(refund_amount AS DECIMAL(14,2)) AS refund_amount)
+    FROM (SELECT COLUMNS(* EXCLUDE (order_id)) FROM raw_returns) NATURAL JOIN (SELECT order_item_id, order_id FROM clean_items))"""
 
 CLEAN_SESSIONS = """clean_sessions AS (
-    SELECT DISTINCT session_id, customer_id, TRY_STRPTIME(session_start, '%Y-%m-%d %H:%M:%S') AS session_start,
-           device_type, traffic_source, LOWER(TRIM(experiment_group)) AS experiment_group,
-           TRY_CAST(session_duration_sec AS BIGINT) AS session_duration_sec,
-           COALESCE(TRY_CAST(session_duration_sec AS BIGINT) < 3, FALSE) AS is_bot,
-           TRY_CAST(completed_order AS BIGINT) AS completed_order, TRY_CAST(order_value AS DECIMAL(14,2)) AS order_value
-    FROM raw_sessions)"""
+    SELECT *, IFNULL(session_duration_sec < 3, FALSE) AS is_bot
+    FROM (SELECT * REPLACE (TRY_STRPTIME(session_start, '%Y-%m-%d %H:%M:%S') AS session_start,
+                            TRIM(LOWER(experiment_group)) AS experiment_group,
+                            TRY_CAST(session_duration_sec AS BIGINT) AS session_duration_sec,
+                            TRY_CAST(completed_order AS BIGINT) AS completed_order,
+                            TRY_CAST(order_value AS DECIMAL(14,2)) AS order_value) FROM raw_sessions)
+    GROUP BY ALL)"""
 
 _RAW = ("raw_customers", "raw_products", "raw_orders", "raw_order_items", "raw_returns", "raw_sessions")
 UP_TO_CUSTOMERS = (*ctes(messy.TABLES, ["raw_customers"]), CITY_MAP, ID_MAP, CLEAN_CUSTOMERS)
