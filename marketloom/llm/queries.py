@@ -68,6 +68,18 @@ def op5_warc(spark, folder):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# 40 hex digits are eight times five, and five are four digits to base 32.
+SQL["op5_warc"] = """
+WITH hashed AS (SELECT page_id, octet_length(encode(COALESCE(html, ''))) AS payload_bytes, sha1(COALESCE(html, '')) AS h FROM pages),
+     grouped AS (SELECT *, MAX(page_id) OVER (PARTITION BY h) AS top FROM hashed)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(generate_series(0, 31), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+           (('0x' || substr(h, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31 AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < top THEN top END AS refers_to
+FROM grouped"""
+
+
 @query
 def op6_simhash_near_dedup(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
@@ -85,6 +97,20 @@ def op8_substring_dedup(spark, folder):
     return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("clean_text"), 256).alias("kept_sha256"))
 
 
+SQL["op8_substring_dedup"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     windows AS (SELECT r, doc_id, unnest(generate_series(1, len(w) - 49)) AS i, unnest(list_transform(
+                     generate_series(1, len(w) - 49), lambda i: sha256(array_to_string(w[i:i + 49], ' ')))) AS h
+                 FROM docs WHERE len(w) >= 50),
+     judged AS (SELECT r, doc_id, i, MIN(doc_id) OVER (PARTITION BY h) AS first FROM windows),
+     gone AS (SELECT DISTINCT r, unnest(generate_series(i, i + 49)) AS p FROM judged WHERE first < doc_id),
+     words AS (SELECT r, unnest(generate_series(1, len(w))) AS p, unnest(w) AS word FROM docs),
+     kept AS (SELECT r, COUNT(gone.p) AS n, string_agg(word, ' ' ORDER BY p) FILTER (gone.p IS NULL) AS clean
+              FROM words LEFT JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, COALESCE(n, 0) AS n_removed, sha256(COALESCE(clean, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)"""
+
+
 @query
 def op9_bpe_encode_decode(spark, folder):
     path = vocabulary()
@@ -99,3 +125,6 @@ def op10_quality_rules(spark, folder):
     judged = rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept")
+
+
+SQL["op10_quality_rules"] = rules.judge_sql()

@@ -73,8 +73,7 @@ def count(text: bytes) -> tuple[int, ...]:
                 if g in twice:
                     repeated += i + 3 - max(i, reach)
                     reach = i + 3
-    # Runs between any white space; only this package's own rule uses them.
-    upper = sum([w.isupper() for w in (words if text.isascii() else text.decode("utf-8", "replace").split())])
+    upper = sum([w.isupper() for w in words])  # of bytes: some of A-Z and none of a-z
     return n, chars, symbols, again, repeated, len(lines), upper
 
 
@@ -195,3 +194,47 @@ def accepted(docs: DataFrame, labels: DataFrame, *, risk: float = RISK, level: f
     counts = stored(measured(rows), "counts")
     cutoffs = stored(thresholds(labelled(counts.select("doc_id", "stratum", *COUNTS), labels), risk=risk, level=level), "cutoffs")
     return _judged(counts, cutoffs).where("kept").select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
+
+
+def judge_sql(risk: float = RISK, level: float = LEVEL) -> str:
+    """The same counts, cutoffs and verdicts in SQL, over ``documents`` and ``labels`` with ``lang`` as stratum."""
+    values = {
+        "symbols": "n_symbols / greatest(n_words, 1)", "long_words": "word_chars / greatest(n_words, 1)",
+        "short_words": "CASE WHEN n_words > 0 THEN -word_chars / n_words ELSE 0 END",
+        "repeat_words": "n_repeat_words / greatest(n_words, 1)", "dup_lines": "n_dup_lines / greatest(n_lines, 1)",
+        "upper_words": "n_upper_words / greatest(n_words, 1)"}
+    ladders = ", ".join(f"('{r}', {k}, {c}::DOUBLE)" for r, (_, ladder) in RULES.items() for k, c in enumerate(ladder))
+    value = " ".join(f"WHEN '{r}' THEN {e}" for r, e in values.items())
+    share, word = risk / len(RULES), r"[^\x20\x09-\x0D]"
+    return f"""
+WITH ladders(rule, step, cutoff) AS (VALUES {ladders}),
+texts AS (SELECT row_number() OVER () AS r, doc_id, lang, COALESCE(text, '') AS t FROM documents),
+split AS (SELECT *, regexp_extract_all(t, '{word}+') AS w,
+                 list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{word}')) AS lines FROM texts),
+grams AS (SELECT r, unnest(generate_series(1, len(w) - 2)) AS i,
+                 unnest(list_transform(generate_series(1, len(w) - 2), lambda i: w[i:i + 2])) AS g FROM split WHERE len(w) >= 3),
+again AS (SELECT r, COUNT(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p
+          FROM (SELECT r, i, COUNT(*) OVER (PARTITION BY r, g) AS times FROM grams) WHERE times > 1) GROUP BY r),
+counts AS (SELECT r, doc_id, lang, len(w)::BIGINT AS n_words, COALESCE(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                  len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+                  (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, COALESCE(again.n, 0)::BIGINT AS n_repeat_words,
+                  len(lines) AS n_lines, len(list_filter(w, lambda x: regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS n_upper_words
+           FROM split LEFT JOIN again USING (r)),
+based AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counts),
+valued AS (SELECT r, lang, base_failed, doc_id, rule, step, cutoff, CASE rule {value} END > cutoff AS is_out FROM based CROSS JOIN ladders),
+good AS (SELECT doc_id, MIN(quality) >= 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+holdout AS (SELECT lang, rule, step, cutoff, COUNT(*) FILTER (good) AS n, COUNT(*) FILTER (good AND is_out) AS k,
+                   COUNT(*) FILTER (NOT good AND is_out) AS bad
+            FROM valued JOIN good USING (doc_id) WHERE NOT base_failed GROUP BY ALL),
+able AS (SELECT *, (SELECT COUNT(DISTINCT COALESCE(lang, '')) FROM holdout WHERE n >= {math.log(1 / level) / -math.log1p(-share)}) AS strata
+         FROM holdout WHERE n >= {math.log(1 / level) / -math.log1p(-share)}),
+judged AS (SELECT *, k <= {share} * n AND list_sum(list_transform(generate_series(0, k), lambda i: exp(
+               lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share}) + (n - i) * ln(1 - {share}))))
+               <= {level} / (strata * {len(RULES)}) AS safe FROM able),
+walked AS (SELECT *, MIN(CASE WHEN safe THEN 1 ELSE 0 END) OVER (PARTITION BY lang, rule ORDER BY step) AS reached,
+                  bad - {FALSE_WEIGHT} * k AS gain FROM judged),
+chosen AS (SELECT lang, rule, ARG_MAX(cutoff, (gain, -step)) AS cutoff FROM walked WHERE reached = 1 GROUP BY lang, rule HAVING MAX(gain) > 0),
+rejected AS (SELECT DISTINCT r FROM valued v JOIN chosen c ON v.lang IS NOT DISTINCT FROM c.lang AND v.rule = c.rule
+             AND v.cutoff = c.cutoff WHERE is_out)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND r NOT IN (SELECT r FROM rejected) AS kept FROM based"""

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import unicodedata  # noqa: F401
 from collections import Counter
 
 import xxhash

@@ -4,11 +4,13 @@ import random
 from fractions import Fraction
 from math import comb
 
+import duckdb
 import pytest
 
 from marketloom.llm import rules
-from marketloom.llm.queries import QUERIES
+from marketloom.llm.queries import QUERIES, SQL
 from tests.llm import brute
+from tools import compare
 
 
 def test_query_counts_every_text(spark, sf_dir):
@@ -65,6 +67,23 @@ def test_cutoffs_follow_labels(spark):
     assert all(kept[i] for i, _, lang, _ in rows if lang != "en")
 
 
+def test_query_equals_sql(spark, sf_dir):
+    assert compare.mismatch(QUERIES["op10_quality_rules"](spark, sf_dir), compare.duck(sf_dir), SQL["op10_quality_rules"]) is None
+
+
+def test_chosen_cutoffs_equal_sql(spark):
+    rows = texts(3000, "###") + [(i + 10_000, t, "de", 1) for i, t, _, _ in texts(2500, "|")]
+    rows += [(i + 20_000, t.upper() if i % 4 else t, "fr", int(i % 4 == 0)) for i, t, _, _ in texts(5000, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    con = duckdb.connect()
+    con.register("given", docs.toArrow())
+    con.execute("CREATE VIEW documents AS SELECT doc_id, text, lang FROM given; CREATE VIEW labels AS SELECT doc_id, quality FROM given")
+    got = rules.judge(docs.drop("quality"), docs.select("doc_id", "quality")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    assert compare.mismatch(got, con, rules.judge_sql()) is None
+    assert 0 < got.where("not kept and not base_failed").count() < len(rows) / 2
+
+
 def test_small_cases(spark):
     long = " ".join(f"w{i}" for i in range(60))
     docs = [(None, long, "en"), (1, None, None), (2, "", "en"), (2, "", "en"), (3, "x " * 200_000, "en"), (4, long, None)]

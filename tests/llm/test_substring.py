@@ -5,8 +5,9 @@ import random
 import pytest
 
 from marketloom.llm import substring
-from marketloom.llm.queries import QUERIES
+from marketloom.llm.queries import QUERIES, SQL
 from tests.llm import brute
+from tools import compare
 
 LONG = "doc_id long, text string"
 
@@ -27,6 +28,10 @@ def test_query_on_a_whole_table(spark, sf_dir):
     assert got(QUERIES["op8_substring_dedup"](spark, sf_dir)) == sorted(brute.substring(docs), key=str)
 
 
+def test_query_equals_sql(spark, sf_dir):
+    assert compare.mismatch(QUERIES["op8_substring_dedup"](spark, sf_dir), compare.duck(sf_dir), SQL["op8_substring_dedup"]) is None
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_random_texts(spark, seed):
     """Few different words, copied and shifted passages, periodic texts, repeated ids, NULLs."""

@@ -8,7 +8,8 @@ import io
 import pytest
 
 from marketloom.llm import warc
-from marketloom.llm.queries import QUERIES
+from marketloom.llm.queries import QUERIES, SQL
+from tools import compare
 
 
 def want(pages, min_bytes=0):
@@ -36,6 +37,10 @@ def test_query_on_a_whole_table(spark, sf_dir):
     assert got(QUERIES["op5_warc"](spark, sf_dir)) == want(pages)
 
 
+def test_query_equals_sql(spark, sf_dir):
+    assert compare.mismatch(QUERIES["op5_warc"](spark, sf_dir), compare.duck(sf_dir), SQL["op5_warc"]) is None
+
+
 PAGES = [(1, "http://a/\n x", "same"), (2, None, "same"), (3, "u", "same"), (None, "u", "same"), (4, "u", ""), (5, "u", None),
          (6, "u", "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.1\r\n\r\n"), (6, "u", "é\n\r\n"),
          (None, "u", "alone"), (None, "v", "alone"), (7, "u", "x" * 3_000_000), (8, "u", "x" * 3_000_000), (8, "u", "x" * 3_000_000)]
