@@ -21,6 +21,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -28,7 +29,7 @@ from tokenizers import Tokenizer
 from marketloom.llm.common import pick, raw, steps
 
 #: A worker remembers the ids of the last words it met, one to two times this many.
-REMEMBERED = 250_000
+REMEMBERED = 120_000
 #: Longer words are not remembered.
 REMEMBERED_BYTES = 64
 #: Below this code point all Unicode versions agree on case, composition and class.
@@ -202,7 +203,7 @@ class WordBpe:
             offsets = np.concatenate([[0], np.cumsum(fine)])[offsets]
             ids = ids[fine]
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), self.strings.take(pa.array(ids)))
-        return pa.compute.binary_join(lists, " ")
+        return pc.binary_join(lists, " ")
 
 
 @lru_cache(maxsize=4)
@@ -250,8 +251,8 @@ def decode(encoded: DataFrame, path: str, *, id_col: str = "doc_id", ids_col: st
         for batch in batches:
             for part in steps([batch], "ids"):
                 lists = part.column("ids")
-                lengths = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-                ids = pa.compute.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+                lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
                 text = bpe.decode(ids, np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, text], ["doc_id", "ids", "decoded"])
 

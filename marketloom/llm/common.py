@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401  pa.compute
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Text that one step in a Python worker handles at once; Spark's own Arrow batches hold 64 MB at most.
-STEP_BYTES = 8 << 20
+STEP_BYTES = 4 << 20
 
 #: What separates words: the ASCII white space, which ``bytes.split()`` splits on as well.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -47,8 +47,8 @@ def steps(batches: Iterable[pa.RecordBatch], column: str, most: int = STEP_BYTES
     """Cut batches so that the named column holds about ``most`` bytes (or 4-byte numbers) in each."""
     for batch in batches:
         values = batch.column(column)
-        length, unit = (pa.compute.list_value_length, 4) if pa.types.is_list(values.type) else (pa.compute.binary_length, 1)
-        sizes = pa.compute.multiply(pa.compute.fill_null(length(values), 0), unit).to_pylist()
+        length, unit = (pc.list_value_length, 4) if pa.types.is_list(values.type) else (pc.binary_length, 1)
+        sizes = pc.multiply(pc.fill_null(length(values), 0), unit).to_pylist()
         start = size = 0
         for i, n in enumerate(sizes):
             size += n

@@ -37,11 +37,11 @@ WINDOW, GRAM = 50, 8
 #: Window starts for which one chunk of a provider's text serves.
 CHUNK = 128
 #: Characters of passages compiled into one automaton.
-SHARD_CHARS = 2 << 20
+SHARD_CHARS = 1 << 19
 #: Bits that tell documents with shared runs from others: 8 MB.
 BITMAP = 1 << 26
 #: Word hashes a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so that they have an inverse modulo 2**64
 _remembered: dict[bytes, int] = {}
