@@ -181,7 +181,9 @@ def routes(rows: DataFrame, n: int = WINDOW) -> DataFrame:
     runs = stored(_runs(rows, n), "runs")
     texts = stored(runs.groupBy("seed", "run").agg(
         F.min("doc_id").alias("first"), F.min_by("at", "doc_id").alias("first_at"), F.count(F.lit(1)).alias("holders")), "run_texts")
-    contested = texts.groupBy("seed").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("seed")
+    # What is grouped by a key is kept before it is joined by that key, so that the join can split a key that very
+    # many runs or windows share.
+    contested = stored(texts.groupBy("seed").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("seed"), "contested")
 
     # Whole runs seen in an earlier document.
     known = texts.where("holders > 1").select("seed", "run", "first", "first_at")
@@ -196,7 +198,9 @@ def routes(rows: DataFrame, n: int = WINDOW) -> DataFrame:
                      .groupBy(F.col("first").alias("doc_id")).agg(F.collect_list("first_at").alias("ats")), "holders")
     closer = likely(rows.select("doc_id", raw("text").alias("text")), "doc_id", holders).join(holders, "doc_id")
     windows = stored(_windows(closer, n), "windows")
-    least = (windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.min_by("start", "doc_id").alias("first_start")))
+    least = stored(windows.groupBy("w1", "w2").agg(
+        F.min("doc_id").alias("first"), F.min_by("start", "doc_id").alias("first_start"), F.count(F.lit(1)).alias("holders"))
+        .where("holders > 1").drop("holders"), "recurring")
     single = (windows.select("w1", "w2", "doc_id").join(least, ["w1", "w2"]).where("doc_id > first")
               .select("doc_id", F.col("first").alias("provider"), F.floor(F.col("first_start") / CHUNK).alias("chunk"))
               .distinct())
