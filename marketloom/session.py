@@ -40,7 +40,9 @@ def durable_root(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    local_disk = warehouse.startswith(("file:", "/"))
+    # A path without a scheme lies in the default file system, which on a cluster is a shared one.
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    local_disk = (warehouse if ":" in warehouse.split("/")[0] else default).startswith("file:")
     if local_disk and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{warehouse}/_checkpoints"
