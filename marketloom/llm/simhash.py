@@ -29,7 +29,7 @@ SEED = 42
 #: Fingerprints of a tile, on average; a tile is one array in one row.
 TILE = 1 << 14
 #: Fingerprints compared at once within a task.
-BLOCK = 2048
+BLOCK = 1024
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -93,12 +93,15 @@ def forest(a: np.ndarray, b: np.ndarray, same: bool, radius: int) -> list[tuple[
         for j in range(i if same else 0, len(b), BLOCK):
             x, y = a[i:i + BLOCK], b[j:j + BLOCK]
             near = np.bitwise_count(x[:, None] ^ y[None, :]) <= radius
-            for p, q in zip(*(n.tolist() for n in np.nonzero(near))):
-                u, v = int(x[p]), int(y[q])
-                s, t = root(u), root(v)
-                if s != t:
-                    up[max(s, t)] = min(s, t)
-                    kept.append((u, v))
+            for p in np.flatnonzero(near.any(axis=1)).tolist():  # a row at a time, as a dense block has very many links
+                u = int(x[p])
+                s = root(u)
+                for v in y[np.flatnonzero(near[p])].tolist():
+                    t = root(v)
+                    if s != t:
+                        low, high = (s, t) if s < t else (t, s)
+                        up[high] = s = low
+                        kept.append((u, v))
     return kept
 
 
@@ -165,7 +168,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RA
     Repeated rows stay. An empty table gives an empty result.
     """
     printed = stored(fingerprints(pick(docs, doc_id=id_col, text=text_col), shingle), "fingerprints")
-    named = classes(printed, radius=radius, tile=tile)
+    # Kept, so that the join can split a fingerprint that very many rows share.
+    named = stored(classes(printed, radius=radius, tile=tile), "classes")
     return (printed.join(named, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least").alias("component_id")))
 
