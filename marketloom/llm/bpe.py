@@ -35,6 +35,7 @@ REMEMBERED_BYTES = 64
 #: Below this code point all Unicode versions agree on case, composition and class.
 SETTLED = 0x250
 PUNCTUATION = string.punctuation
+PUNCTUATION_BYTES = PUNCTUATION.encode()
 _UNSETTLED = re.compile(f"[^\x00-{chr(SETTLED - 1)}]")
 
 SYMBOL_BITS, PLACE_BITS = 20, 40
@@ -55,6 +56,8 @@ class WordBpe:
     pattern whose matches are words, byte letters, merges without dropout, no unknown token.
     """
 
+    remembered = REMEMBERED
+
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -134,7 +137,7 @@ class WordBpe:
     def _remember(self, word: bytes, ids: bytes) -> None:
         """Keep short words; the older half of what is known goes when there are too many."""
         if len(word) <= REMEMBERED_BYTES:
-            if len(self._known) >= REMEMBERED:
+            if len(self._known) >= self.remembered:
                 self._older, self._known = self._known, {}
             self._known[word] = ids
 
@@ -169,22 +172,32 @@ class WordBpe:
         """Ids of what stands between white space."""
         got = self._older.get(word)
         if got is None:
-            text = word.decode("utf-8", "replace")
-            low = text.lower()
-            letters = low.rstrip(PUNCTUATION)
-            if letters.isalpha() and (letters.isascii() or not _UNSETTLED.search(letters)):
-                # Letters, then perhaps punctuation: two pieces, and composed already.
-                got = self._piece(letters.encode())
+            low = word.lower()
+            letters = low.rstrip(PUNCTUATION_BYTES)
+            if letters.isalpha():  # ASCII letters, then perhaps punctuation: two pieces
+                got = self._piece(letters)
+                if letters == word:
+                    return got
                 if len(letters) < len(low):
-                    got += self._piece(low[len(letters):].encode())
-            elif any([s in word for s in self.special_bytes]):
-                got = b"".join([array("i", [self.special[s]]).tobytes() if s in self.special else self._segment(s)
-                                for s in self.special_split.split(text)])
+                    got += self._piece(low[len(letters):])
             else:
-                got = self._segment(text)
+                got = self._other_word(word)
         self._remember(word, got)
         return got
 
+    def _other_word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        low = text.lower()
+        letters = low.rstrip(PUNCTUATION)
+        if letters.isalpha() and not _UNSETTLED.search(letters):
+            # The same with letters that are composed already.
+            got = self._piece(letters.encode())
+            return got + self._piece(low[len(letters):].encode()) if len(letters) < len(low) else got
+        if any([s in word for s in self.special_bytes]):
+            return b"".join([array("i", [self.special[s]]).tobytes() if s in self.special else self._segment(s)
+                             for s in self.special_split.split(text)])
+        return self._segment(text)
+
     def encode(self, text: bytes) -> bytes:
         """Ids of a whole UTF-8 text as 32-bit little-endian. Nothing merges or composes across white space."""
         words = text.split()

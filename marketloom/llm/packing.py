@@ -35,6 +35,8 @@ PIECES_PER_TASK = 200_000
 class LibraryIds(WordBpe):
     """Ids by the ``tokenizers`` library, asked once for each piece of text that is not remembered."""
 
+    remembered = 250_000
+
     def ids_of(self, piece: bytes) -> list[int]:
         letters = piece.decode() if piece.isalpha() else "".join([self.letters[b] for b in piece])
         return [t.id for t in self.model.tokenize(letters)]

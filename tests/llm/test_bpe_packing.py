@@ -28,7 +28,7 @@ def by(encoder, text):
 
 @pytest.mark.parametrize("encoder", [bpe.load(PATH), packing.library_ids(PATH)])
 def test_same_ids_as_the_library(encoder, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 50)  # so that words are forgotten, too
+    monkeypatch.setattr(encoder, "remembered", 50)  # so that words are forgotten, too
     draw = random.Random(3)
     marks = [32, 9, 0x41, 0x301, 0xE9, 0x27, 0x73, 0x130, 0x3A3, 0x2028, 0xA0, 0x200B, 0x1F600, 60, 124, 101, 0x345, 0x212B, 0x1E9E]
     texts = ODD + ["".join(chr(draw.choice(marks)) for _ in range(30)) for _ in range(1500)]
