@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import bpe, classifier, graph_search, licenses, packing, rules, shards, simhash, substring, warc
+from marketloom.llm import (bpe, classifier, graph_search, licenses, packing, periodic, rules, shards, simhash, substring,
+                            warc)
 from marketloom.session import fresh_folder, stored
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -128,3 +129,34 @@ def op10_quality_rules(spark, folder):
 
 
 SQL["op10_quality_rules"] = rules.judge_sql()
+
+
+WORD = r"([^\x20\x09-\x0D]+)"
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where the texts of about a tenth of the ids repeat some of their words up to their end."""
+    words, n = F.col("words"), F.size("words")
+    start = F.pmod(F.col("g"), n)
+    period = F.expr("1 + (size(words) - g % size(words)) div (3 + g % 8)")
+    tail = F.transform(F.sequence(start, n - 1), lambda i: F.get(words, (start + F.pmod(i - start, period)).cast("int")))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    chosen = (F.col("h") % 10 == 0) & F.col("text").rlike(WORD)
+    return (docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+            .withColumn("g", F.expr("h div 10"))
+            .withColumn("words", F.when(chosen, F.regexp_extract_all(text, F.lit(WORD))))
+            .select("doc_id", F.when(F.col("words").isNotNull(), F.array_join(
+                F.concat(F.slice(words, 1, start.cast("int")), tail), " ")).otherwise(F.col("text")).alias("text")))
+
+
+@query
+def op11_periodic_runs(spark, folder):
+    found = periodic.runs(looped(table(spark, folder, "documents")))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(listed, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))

@@ -64,7 +64,7 @@ def test_queries_are_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES} and QUERIES.keys() <= names.keys()
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES} and QUERIES.keys() <= names.keys()
     assert names["pipeline"] is corpus_pipeline.run and "op1_license_scan" in __spark_entry__.oracle_sql()
 
 
