@@ -116,7 +116,7 @@ class RunFinder:
         for p in sorted(self.live):
             self._keep(p)
         self.live.clear()
-        return sorted((a, b - a, p) for (a, b), p in self.found.items())
+        return sorted(((a, b - a, p) for (a, b), p in self.found.items()), key=lambda r: (r[0], r[2]))
 
     def _complete(self, level: Level) -> None:
         """Look up every block that has become complete among the stretches before it."""
