@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import (bpe, classifier, graph_search, licenses, packing, periodic, rules, shards, simhash, substring,
+from marketloom.llm import (bpe, classifier, clusters, graph_search, licenses, packing, periodic, rules, shards, simhash, substring,
                             warc)
 from marketloom.session import fresh_folder, stored
 
@@ -160,3 +160,13 @@ def op11_periodic_runs(spark, folder):
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query
+def op12_centroid_clustering(spark, folder):
+    found = clusters.cluster(table(spark, folder, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256).alias("centroid_sha256"))
+
+
+SQL["op12_centroid_clustering"] = clusters.cluster_sql()
