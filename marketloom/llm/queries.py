@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import (bpe, classifier, clusters, graph_search, licenses, packing, periodic, rules, shards, simhash, substring,
+from marketloom.llm import (bpe, classifier, clusters, graph_search, licenses, main_text, packing, periodic, rules, shards, simhash, substring,
                             warc)
 from marketloom.session import fresh_folder, stored
 
@@ -170,3 +170,18 @@ def op12_centroid_clustering(spark, folder):
 
 
 SQL["op12_centroid_clustering"] = clusters.cluster_sql()
+
+
+@query
+def op13_main_text(spark, folder):
+    return main_text.main_text(table(spark, folder, "pages"))
+
+
+# The given pages hold one article of headings and paragraphs each, and references that these replacements cover.
+SQL["op13_main_text"] = r"""
+WITH found AS (SELECT page_id, url, regexp_extract(COALESCE(html, ''), '<article>(.*?)(</article>|$)', 1, 's') AS a FROM pages),
+     blocks AS (SELECT page_id, url, list_filter(list_transform(regexp_split_to_array(a, '</?(p|h[1-6]|div|ul|li)[^>]*>'), lambda b: trim(
+         regexp_replace(regexp_replace(regexp_replace(b, '<br ?/?>', ' ', 'g'), '<[^>]*>', '', 'g'), '[\s\x0B]+', ' ', 'g'))), lambda b: b <> '') AS b FROM found),
+     texts AS (SELECT page_id, url, replace(replace(replace(replace(regexp_replace(array_to_string(b, chr(10)), '&(amp|quot|lt|gt);?', '&\1;', 'g'),
+         '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS text FROM blocks)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM texts"""
