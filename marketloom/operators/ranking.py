@@ -1,8 +1,8 @@
 """Places, row numbers and equal-size buckets over orders that no single task could hold.
 
-Rows are range-sorted over all tasks, each keeps its place in that sort on shared storage, and places
-turn into numbers by adding up the sizes of the sort partitions before it (one small row per
-partition). There is one plan, whatever the number of rows.
+For places, rows are range-sorted over all tasks, each keeps its place in that sort on shared storage, and
+places turn into numbers by adding up the sizes of the sort partitions before it (one small row per
+partition). Buckets need no sort: ``borders`` finds the rows at which they start.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.session import stored
+from marketloom.operators.borders import at_or_after, rows_at
+from marketloom.session import run_at_once, stored
 
 # monotonically_increasing_id puts the partition number above bit 33 and the place below.
 _PLACE_BITS = 33
@@ -72,19 +73,25 @@ def bucket_of(position: Column, rows: Column | int, buckets: int) -> Column:
     return (F.when(position < in_large, large_bucket).otherwise(small_bucket) + 1).cast("int")
 
 
-def ntile_scores(df: DataFrame, key: str, scores: Mapping[str, Sequence[str]], buckets: int) -> DataFrame:
+def bucket_starts(rows: int, buckets: int) -> list[int]:
+    """0-based place of the first row of each bucket but the first; buckets without a row start beyond the last."""
+    small, extra = divmod(rows, buckets)
+    return [b * small + min(b, extra) for b in range(1, buckets)]
+
+
+def ntile_scores(df: DataFrame, key: str, scores: Mapping[str, Sequence[str]], buckets: int, **tuning: int) -> DataFrame:
     """One NTILE column per entry of ``scores``, each over the whole table in its own order.
 
     ``key`` tells rows apart (one of them may be NULL) and breaks ties upwards. An order lists columns, each
-    after "-" if it falls. Only the key and the order's columns are sorted; the buckets come back by key.
+    after "-" if it falls. Only the rows at which buckets start are looked for (``tuning`` goes to that); every
+    row is then compared with them, so no row is sorted, shuffled or joined.
     """
     base = stored(df, "scored")
-    rows = base.count()
-    out = base
-    for name, order in scores.items():
-        columns = [c.removeprefix("-") for c in order]
-        places = global_positions(base.select(key, *columns),
-                                  [F.desc(c) if c != o else F.asc(c) for c, o in zip(columns, order)] + [F.asc(key)], "_place")
-        scored = places.select(F.col(key).alias("_key"), bucket_of(F.col("_place"), rows, buckets).alias(name))
-        out = out.join(scored, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
-    return out
+    starts = bucket_starts(base.count(), buckets)
+    orders = {name: [*order, key] for name, order in scores.items()}
+    firsts = run_at_once(lambda order: rows_at(base, order, starts, **tuning), orders.values())
+    columns = {}
+    for (name, order), found in zip(orders.items(), firsts):
+        passed = [at_or_after(base, order, row).cast("int") for row in found.values()]
+        columns[name] = sum(passed, F.lit(1))
+    return base.withColumns(columns)

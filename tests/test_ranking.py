@@ -7,7 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketloom.operators.modelling import rollup_items
-from marketloom.operators.ranking import bucket_of, first_within, global_positions, ntile_scores, number_in_steps
+from marketloom.operators.borders import at_or_after, rows_at
+from marketloom.operators.ranking import bucket_of, bucket_starts, first_within, global_positions, ntile_scores, number_in_steps
 from marketloom.operators.skew import spread_join
 
 
@@ -54,11 +55,12 @@ def test_no_task_numbers_a_whole_group(spark):
             assert "_step" in line.split("row_number()")[-1] or "sum(_n" in line
 
 
+@pytest.mark.parametrize("cells, at_once", [(4096, 1 << 16), (2, 1), (7, 20)])
 @pytest.mark.parametrize("n", [0, 1, 3, 7, 1500, 1503])
-def test_ntile_scores(spark, n):
+def test_ntile_scores(spark, n, cells, at_once):
     df = spark.range(n).select(F.when(F.col("id") > 0, F.col("id")).alias("id"), (F.col("id") * 7919 % 101).alias("v"),
                                (F.col("id") % 3).alias("w"))
-    got = ntile_scores(df, "id", {"up": ["v"], "down": ["-v", "w"]}, 5)
+    got = ntile_scores(df, "id", {"up": ["v"], "down": ["-v", "w"]}, 5, cells=cells, at_once=at_once)
     want = df.withColumn("up", F.ntile(5).over(Window.orderBy("v", "id"))).withColumn(
         "down", F.ntile(5).over(Window.orderBy(F.desc("v"), "w", "id")))
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
@@ -127,3 +129,40 @@ def test_hot_key_of_a_spread_join_is_split(spark, split_early, how):
     joined = spread_join(child, parent, "k", "id", how)
     assert len(joined.collect()) == (600_000 if how == "left" else 400_000)
     assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+KINDS = {"long": "if(id % 9 = 0, null, (id * 7919) % 1000000007 * 8000000000)", "int": "cast(id % 13 as int)",
+         "text": "if(id % 11 = 0, null, concat('Kunde-é', cast((id * 7919) % 1009 as string)))",
+         "money": "cast(pow(1.02, id % 1200) as decimal(20,2))", "float": "if(id = 5, double('Infinity'), if(id = 7, double('NaN'), sqrt(id % 700)))",
+         "day": "date_add(date '1999-12-30', cast(id % 400 as int))", "flag": "id % 3 = 0", "zeros": "repeat('\\0', cast(id % 4 as int))",
+         "time": "timestamp_ntz '2021-10-31 00:30:00.5' + make_dt_interval(0, 0, 0, (id * 17) % 9000)", "none": "cast(null as int)"}
+
+
+@pytest.mark.parametrize("order", [["long"], ["-long"], ["int", "-text"], ["-text"], ["money", "int"], ["float"], ["-float"], ["-day"],
+                                   ["flag", "time"], ["zeros"], ["none", "-int"], ["-none", "-money"], ["time"]])
+def test_rows_at_places(spark, order):
+    """Every kind of column, NULLs first and last, ties, and values that only the last column tells apart."""
+    df = spark.range(0, 2000, 1, 4).selectExpr("id", *[f"{e} as {n}" for n, e in KINDS.items()])
+    order = [*order, "id"]
+    names = [c.removeprefix("-") for c in order]
+    sort = [F.desc_nulls_last(n) if n != c else F.asc_nulls_first(n) for n, c in zip(names, order)]
+    want = [[str(r[n]) for n in names] for r in df.orderBy(*sort).collect()]
+    places = [-1, 0, 1, 399, 400, 1000, 1001, 1999, 2000]
+    for cells, at_once in ((16, 3), (1024, 100)):
+        got = rows_at(df, order, places, cells=cells, at_once=at_once)
+        assert {p: [str(v) for v in row] for p, row in got.items()} == {p: want[p] for p in places if 0 <= p < 2000}
+    for place, row in got.items():
+        assert df.where(at_or_after(df, order, row)).count() == 2000 - place
+
+
+def test_bucket_starts():
+    for rows in range(23):
+        sizes = [rows // 5 + (b < rows % 5) for b in range(5)]
+        assert bucket_starts(rows, 5) == [sum(sizes[:b]) for b in range(1, 5)]
+
+
+def test_scores_sort_nothing(spark):
+    """No row is sorted, shuffled or joined: the plan is a scan and comparisons."""
+    df = spark.range(5000).selectExpr("id", "id % 7 as v")
+    plan = ntile_scores(df, "id", {"up": ["v"], "down": ["-v"]}, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" in plan and not any(word in plan for word in ("Exchange", "Sort", "Join", "Window"))
