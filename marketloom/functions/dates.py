@@ -28,5 +28,10 @@ def months_between_buckets(start: Column | str, end: Column | str) -> Column:
     return (F.year(b) - F.year(a)) * 12 + F.month(b) - F.month(a)
 
 
+def month_number(c: Column | str) -> Column:
+    """Months since the start of year 0."""
+    return F.year(as_col(c)) * 12 + F.month(as_col(c)) - 1
+
+
 def half_of_year(c: Column | str) -> Column:
     return F.when(F.month(as_col(c)) <= 6, F.lit(1)).otherwise(F.lit(2))

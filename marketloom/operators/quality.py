@@ -1,4 +1,10 @@
-"""Data-quality checks: declared per table, run as one aggregate per table."""
+"""Data-quality checks: declared per table, answered by one ledger of keys and faults.
+
+Every table is read once and turned into ledger lines: one for each key that a check asks about, tagged with
+the table it came from, and one for each fault of the row itself. Lines are counted per key before and after
+one shuffle; then a key's counts tell how often each table holds it, and so which rows repeat
+a key or lack a parent.
+"""
 
 from __future__ import annotations
 
@@ -9,22 +15,28 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.operators.profiling import count_excess, count_orphans, one_row
-
 WARNING = "(warning)"
 
 
 @dataclass(frozen=True)
 class Check:
-    """A named count of failing rows, as an aggregate over one table."""
+    """Rows of a table that fail a condition of their own."""
 
     name: str
     failing: Column
 
 
+@dataclass(frozen=True)
+class UniqueCheck:
+    """Rows of a table beyond one per key. NULL keys are all in excess."""
+
+    name: str
+    key: str
+
+
 @dataclass(frozen=True)
 class ForeignKeyCheck:
-    """Rows of a table whose key has no row in the parent table."""
+    """Rows of a table whose key has no row in the parent table, NULL keys included."""
 
     name: str
     parent: str
@@ -35,24 +47,24 @@ def _named(name: str, warn: bool) -> str:
     return f"{name} {WARNING}" if warn else name
 
 
-def check_unique(name: str, key: str, warn: bool = False) -> Check:
+def check_unique(name: str, key: str, warn: bool = False) -> UniqueCheck:
     """F1, F8, F14."""
-    return Check(_named(name, warn), count_excess(key))
+    return UniqueCheck(_named(name, warn), key)
 
 
 def check_not_null(name: str, column: str, warn: bool = False) -> Check:
     """F2, F3, F4, F9, F17."""
-    return Check(_named(name, warn), F.count_if(F.col(column).isNull()))
+    return Check(_named(name, warn), F.col(column).isNull())
 
 
 def check_predicate(name: str, bad: Column, warn: bool = False) -> Check:
     """An unknown outcome passes."""
-    return Check(_named(name, warn), F.count_if(bad))
+    return Check(_named(name, warn), bad)
 
 
 def check_in_set(name: str, column: str, values: Sequence[str], warn: bool = False) -> Check:
     """NULL passes."""
-    return Check(_named(name, warn), F.count_if(~F.col(column).isin(*values)))
+    return Check(_named(name, warn), ~F.col(column).isin(*values))
 
 
 def check_fk(name: str, parent: str, key: str, warn: bool = False) -> ForeignKeyCheck:
@@ -60,18 +72,68 @@ def check_fk(name: str, parent: str, key: str, warn: bool = False) -> ForeignKey
     return ForeignKeyCheck(_named(name, warn), parent, key)
 
 
-def run_checks(tables: Mapping[str, DataFrame],
-               checks: Mapping[str, Sequence[Check | ForeignKeyCheck]]) -> DataFrame:
-    """check_name, failing_rows, result for every declared check."""
-    parts = []
+AnyCheck = Check | UniqueCheck | ForeignKeyCheck
+
+
+class _Ledger:
+    """Subjects (a key column, or a row's own fault), and the slots in which tables are counted under each."""
+
+    def __init__(self) -> None:
+        self.subjects: dict[str, dict[str, int]] = {}
+
+    def slot(self, subject: str, table: str) -> tuple[int, int]:
+        """The number of a subject, and that of a table's counts under it."""
+        slots = self.subjects.setdefault(subject, {})
+        return list(self.subjects).index(subject), slots.setdefault(table, len(slots))
+
+    @property
+    def width(self) -> int:
+        return max((len(s) for s in self.subjects.values()), default=1)
+
+
+def _line(subject: int, slot: int, key: Column) -> Column:
+    return F.struct(F.lit(subject).alias("subject"), F.lit(slot).alias("slot"), key.alias("key"))
+
+
+def run_checks(tables: Mapping[str, DataFrame], checks: Mapping[str, Sequence[AnyCheck]]) -> DataFrame:
+    """check_name, failing_rows, result for every declared check.
+
+    Keys of one name are the same thing in all tables, and are compared as text. Each table is scanned once, and all
+    checks together take one shuffle, of one row for each key and map task.
+    """
+    ledger = _Ledger()
+    lines: dict[str, dict[tuple[int, int], Column]] = {}
+    totals: list[tuple[str, Column]] = []
+
+    def note(table: str, subject: str, line) -> tuple[Column, Column]:
+        """Enter a line for each row of the table; its subject's rows of the ledger, and the table's count in them."""
+        at, slot = ledger.slot(subject, table)
+        lines.setdefault(table, {}).setdefault((at, slot), line(at, slot))
+        return F.col("subject") == at, F.col(f"n{slot}")
+
     for table, declared in checks.items():
-        plain = {c.name: c.failing for c in declared if isinstance(c, Check)}
-        if plain:
-            parts.append(one_row(tables[table], plain))
-        parts += [count_orphans(tables[table], tables[c.parent], c.key, c.name)
-                  for c in declared if isinstance(c, ForeignKeyCheck)]
-    stacked = reduce(DataFrame.unionByName, parts).withColumnRenamed("rows_affected", "failing_rows")
-    return with_verdict(stacked)
+        for check in declared:
+            if isinstance(check, Check):
+                own, n = note(table, f"fault {len(ledger.subjects)}", lambda at, slot, bad=check.failing: F.when(
+                    bad, _line(at, slot, F.lit(None).cast("string"))))
+                totals.append((check.name, F.sum(F.when(own, n))))
+                continue
+            subject = f"key {check.key}"
+            keyed = lambda at, slot, key=check.key: _line(at, slot, F.col(key).cast("string"))
+            own, n = note(table, subject, keyed)
+            if isinstance(check, UniqueCheck):
+                once = F.when(F.col("key").isNotNull() & (n > 0), 1).otherwise(0)
+                totals.append((check.name, F.sum(F.when(own, n - once))))
+            else:
+                _, parents = note(check.parent, subject, keyed)
+                totals.append((check.name, F.sum(F.when(own & (F.col("key").isNull() | (parents == 0)), n))))
+
+    entered = reduce(DataFrame.unionByName, [
+        tables[table].select(F.inline(F.array_compact(F.array(*wanted.values())))) for table, wanted in lines.items()])
+    counted = entered.groupBy("subject", "key").agg(*[F.count_if(F.col("slot") == i).alias(f"n{i}") for i in range(ledger.width)])
+    answers = counted.agg(*[F.coalesce(t, F.lit(0)).cast("bigint").alias(f"c{i}") for i, (_, t) in enumerate(totals)])
+    rows = F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(f"c{i}").alias("failing_rows")) for i, (name, _) in enumerate(totals)])
+    return with_verdict(answers.select(F.inline(rows)))
 
 
 def with_verdict(checks: DataFrame) -> DataFrame:

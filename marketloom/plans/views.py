@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions import stats
-from marketloom.functions.dates import days_between, half_of_year, months_between_buckets
+from marketloom.functions.dates import days_between, half_of_year, month_number
 from marketloom.functions.rates import percent, rounded_mean, share_of
 from marketloom.operators.modelling import DELIVERED, SHIPPED, is_status
 from marketloom.operators.ranking import ntile_scores
@@ -185,22 +185,50 @@ def repeat_by_late(dim: DataFrame) -> DataFrame:
     return known.groupBy("first_order_late").agg(_rows().alias("customers"), repeat_rate())
 
 
-def cohort_retention(fact: DataFrame, dim: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+#: Months in one word of a mask, leaving out the sign.
+_MASK_BITS = 63
+
+
+def activity_masks(fact: DataFrame, first: int, months: int) -> DataFrame:
+    """``customer_id``, ``cohort`` (months after ``first`` of the first order) and ``active``, the customer's
+    months of activity as bits of an array of words.
+
+    A customer whose first order has no known time has no cohort. One aggregate: words are OR-ed in the map tasks.
+    """
+    at = F.when(F.col("order_month").isNotNull(), month_number("order_month") - first)
+    words = [F.bit_or(F.when(F.floor(at / _MASK_BITS) == w, F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(_MASK_BITS)))))
+             for w in range(-(-months // _MASK_BITS))]
+    masks = fact.groupBy("customer_id").agg(F.min(at).alias("cohort"), F.count_if(F.col("order_month").isNull()).alias("_unknown"),
+                                            *[w.alias(f"_w{i}") for i, w in enumerate(words)])
+    return masks.where("_unknown = 0").select("customer_id", "cohort", F.array(*[f"_w{i}" for i in range(len(words))]).alias("active"))
+
+
+def cohort_retention(fact: DataFrame, people: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Customers active n months after their first order, any status counting as activity.
 
-    A customer's orders collapse to one row per month before they meet the dimension, so even the
-    heaviest customer joins with as many rows as there are months.
+    ``fact`` needs customer_id and order_month alone, ``people`` customer_id. Orders collapse to a bit mask
+    per customer, whose bits are counted per cohort; no row per order or month meets another table.
     """
-    cohorts = dim.where(F.col("cohort_month").isNotNull()).select("customer_id", "cohort_month")
-    active = fact.groupBy("customer_id", "order_month").agg(F.lit(1).alias("_seen")).drop("_seen")
-    offset = months_between_buckets("cohort_month", "order_month").alias("months_since_first")
-    cells = (active.join(cohorts, "customer_id").select("cohort_month", offset)
-             .where(F.col("months_since_first").between(0, rules.max_cohort_offset))
-             .groupBy("cohort_month", "months_since_first").agg(_rows().alias("active_customers")))
-    sizes = cohorts.groupBy("cohort_month").agg(_rows().alias("cohort_size"))
-    return cells.join(sizes, "cohort_month").select(
-        "cohort_month", "months_since_first", "cohort_size", "active_customers",
-        percent("active_customers", "cohort_size").alias("retention_pct"))
+    ends = fact.agg(F.min("order_month").alias("low"), F.max("order_month").alias("high")).first()
+    if ends.low is None:
+        first = months = 0
+    else:
+        first = ends.low.year * 12 + ends.low.month - 1
+        months = ends.high.year * 12 + ends.high.month - first
+    masks = activity_masks(fact, first, months).join(people.select("customer_id"), "customer_id", "left_semi")
+
+    def active(offset: int) -> Column:
+        at = F.col("cohort") + offset
+        word = F.get("active", F.floor(at / _MASK_BITS).cast("int"))
+        return F.coalesce(F.call_function("getbit", word, F.pmod(at, F.lit(_MASK_BITS))), F.lit(0))
+
+    offsets = range(rules.max_cohort_offset + 1)
+    sizes = masks.groupBy("cohort").agg(_rows().alias("cohort_size"), *[F.sum(active(n)).alias(f"_n{n}") for n in offsets])
+    cells = F.array(*[F.struct(F.lit(n).alias("months_since_first"), F.col(f"_n{n}").alias("active_customers")) for n in offsets])
+    month = F.make_date(F.floor((F.col("cohort") + first) / 12).cast("int"), F.pmod(F.col("cohort") + first, F.lit(12)) + 1, F.lit(1))
+    return (sizes.select(month.alias("cohort_month"), "cohort_size", F.inline(cells)).where("active_customers > 0")
+            .select("cohort_month", "months_since_first", "cohort_size", "active_customers",
+                    percent("active_customers", "cohort_size").alias("retention_pct")))
 
 
 def cohort_curve(retention: DataFrame, month) -> DataFrame:

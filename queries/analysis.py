@@ -7,6 +7,7 @@ import functools
 
 from marketloom.bindings import star
 from marketloom.plans import views
+from marketloom.session import stored
 from queries import query
 from queries import sql as s
 
@@ -113,8 +114,8 @@ RETENTION = f"""retention AS (
 
 
 def retention(spark, folder):
-    fact, dim = star.stored_mart(spark, folder)
-    return views.cohort_retention(fact, dim, R)
+    activity = stored(star.facts(spark, folder).select("customer_id", "order_month"), "activity")
+    return views.cohort_retention(activity, star.table(spark, folder, "customers"), R)
 
 
 query("cohort_retention", "E11", s.on_dim("SELECT * FROM retention", RETENTION))(retention)

@@ -226,7 +226,7 @@ def clean_tables(spark, folder, *tables, keep=lambda name, df: df):
 
 def clean_table(name, covers, columns, source, *parts):
     query(f"clean_{name}", covers, s.answer(f"SELECT {s.typed(columns)} FROM {source}", *parts))(
-        lambda spark, folder: clean_tables(spark, folder, name)[name])
+        lambda spark, folder: clean_tables(spark, folder, name)[name].select(*[c.split(":")[0] for c in columns.split()]))
 
 
 clean_table("customers", "B-T1", "customer_id email signup_date city province city_tier:b acquisition_channel device_type",

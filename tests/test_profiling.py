@@ -56,6 +56,23 @@ def test_verdicts_and_gate(spark):
     q.gate(checks.where("result <> 'FAIL'"))
 
 
+def test_ledger_of_keys(spark):
+    """Uniqueness and orphans of several tables from one scan each and one shuffle of keys."""
+    parents = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (None, "a"), (None, None)], "id long, email string")
+    children = spark.createDataFrame([(10, 1), (11, 7), (11, 7), (12, None), (13, 2)], "child long, id long")
+    declared = {"parents": [q.check_unique("id once", "id"), q.check_unique("email once", "email"), q.check_not_null("email known", "email")],
+                "children": [q.check_fk("child has parent", "parents", "id"), q.check_unique("child once", "child"),
+                             q.check_predicate("child below 13", F.col("child") >= 13)]}
+    tables = {"parents": parents, "children": children}
+    want = {"id once": 3, "email once": 3, "email known": 1, "child has parent": 3, "child once": 1, "child below 13": 1}
+    checked = q.run_checks(tables, declared)
+    assert {r.check_name: r.failing_rows for r in checked.collect()} == want
+    empty = q.run_checks({n: df.limit(0) for n, df in tables.items()}, declared)
+    assert {r.check_name: (r.failing_rows, r.result) for r in empty.collect()} == {n: (0, "PASS") for n in want}
+    plan = q.run_checks(tables, declared)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Scan ExistingRDD") == 2 and "Join" not in plan
+
+
 def test_centred_mean_needs_a_full_window(spark, rows):
     df = spark.createDataFrame([(dt.date(2024, 1, 1 + i), i) for i in range(9)], "d date, n int")
     got = [r[0] for r in rows(r.centred_mean(df, "d", "n", "m").orderBy("d"), "m")]
