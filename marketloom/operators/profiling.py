@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.text import as_col, has_prefix, is_blank
+from marketloom.session import stored
 
 _LOOSE = "UTF8_LCASE_RTRIM"
 
@@ -56,9 +57,23 @@ def one_row(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     return totals.select(F.inline(rows))
 
 
-def count_duplicate_rows(df: DataFrame, name: str) -> DataFrame:
-    """Rows beyond one per distinct content."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
+def row_prints(names: Sequence[str]) -> list[Column]:
+    """A row's content in 128 bits."""
+    return [F.xxhash64(*names), F.xxhash64(F.lit(1), *names)]
+
+
+def count_duplicate_rows(df: DataFrame, name: str, prints: Callable[[Sequence[str]], Sequence[Column]] = row_prints) -> DataFrame:
+    """Rows beyond one per distinct content.
+
+    Rows are counted by a hash, so the shuffle holds 16 bytes for each. Only rows whose hash comes up again are
+    compared in full, so hashes that collide change nothing.
+    """
+    rows = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    marks = {f"_h{i}": p for i, p in enumerate(prints(rows.columns))}
+    marked = rows.withColumns(marks)
+    # Kept, so that its size decides how it meets the rows.
+    again = stored(marked.groupBy(*marks).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeats")
+    copies = marked.join(again, list(marks), "left_semi").groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
     return one_row(copies, {name: F.coalesce(F.sum(F.col("n") - 1), F.lit(0))})
 
 

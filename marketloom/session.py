@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Noting the caller of every column expression costs more than building the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -48,6 +50,12 @@ def durable_root(spark: SparkSession) -> str:
     return f"{warehouse}/_checkpoints"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path in its terms."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 _made: list[str] = []
 
 
@@ -77,10 +85,9 @@ def mark() -> int:
 
 def discard(spark: SparkSession, since: int = 0) -> None:
     """Delete the intermediate folders made after ``since``. What still reads them must be done."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
     while len(_made) > since:
-        path = hadoop(_made.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        files, path = file_system(spark, _made.pop())
+        files.delete(path, True)
 
 
 def _discard_at_exit() -> None:

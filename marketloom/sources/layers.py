@@ -3,16 +3,24 @@
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marketloom.session import run_at_once
+from marketloom.session import file_system, run_at_once
 
 LAYERS = ("raw", "clean", "mart")
 VIEW_PREFIX = "v_"
+#: Earlier versions of a table that stay for those who are still reading them.
+KEPT_VERSIONS = 1
+_VERSION = "version-"
+# Ends the name of a folder column whose values are text behind a mark.
+_TEXT = "__text"
 
 
 class LayerClashError(ValueError):
@@ -30,6 +38,10 @@ class Warehouse:
 
     Every table is written below ``root``, whatever the catalog holds. Two warehouses on one catalog need
     different prefixes.
+
+    A table is a folder of versions. A new version is written beside the old one, and counts once its
+    success marker is there; only then the catalog's entry, which names one version, is moved in one step. So a write that
+    fails halfway changes nothing, and a table can be replaced by a query over itself.
     """
 
     spark: SparkSession
@@ -57,11 +69,51 @@ class Warehouse:
         Rows of one partition value gather before writing, so a date holds few files; adaptive
         execution splits values that are too large for one task.
         """
-        out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
-        writer = out.write.mode("overwrite").format("parquet").option("path", self.folder(layer, name))
-        table = f"{self.database(layer)}.{name}"
-        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
-        return self.spark.table(table)
+        texts = [f.name for f in df.schema.fields if f.name in partition_by and isinstance(f.dataType, T.StringType)]
+        # Folder names are read back by their looks, so text is marked as such: '007' and '' are no number and no NULL.
+        out = df.withColumns({c + _TEXT: F.concat(F.lit("_"), c) for c in texts}).drop(*texts)
+        folders = [c + _TEXT if c in texts else c for c in partition_by]
+        spread = out.hint("rebalance", *[F.col(c) for c in folders]) if folders else out
+        version = f"{self.folder(layer, name)}/{_VERSION}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        spread.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(version, partitionBy=folders or None)
+        columns = [f"substring(`{f.name}{_TEXT}`, 2) AS `{f.name}`" if f.name in texts else
+                   f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" if f.name in partition_by else f"`{f.name}`"
+                   for f in df.schema.fields]
+        self._point(f"{self.database(layer)}.{name}", version, columns, out)
+        self._forget(layer, name)
+        return self.spark.read.schema(out.schema).parquet(version).selectExpr(*columns)
+
+    def _point(self, table: str, version: str, columns: Sequence[str], written: DataFrame) -> None:
+        """Make the catalog's entry name this version."""
+        if self.spark.catalog.tableExists(table) and self.spark.catalog.getTable(table).tableType != "VIEW":
+            self.spark.sql(f"DROP TABLE {table}")
+        source = f"parquet.`{version}`"
+        if self.spark.read.schema(written.schema).parquet(version).isEmpty():  # there may be no file that names the columns
+            nothing = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in written.schema.fields]
+            source = f"(SELECT {', '.join(nothing)}) WHERE FALSE"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {', '.join(columns)} FROM {source}")
+
+    def versions(self, layer: str, name: str) -> list[str]:
+        """Folders of the table's complete versions, oldest first."""
+        files, home = file_system(self.spark, self.folder(layer, name))
+        found = sorted(f.getPath().toString() for f in files.listStatus(home)) if files.exists(home) else []
+        return [v for v in found if v.rsplit("/", 1)[-1].startswith(_VERSION) and files.exists(file_system(self.spark, f"{v}/_SUCCESS")[1])]
+
+    def _forget(self, layer: str, name: str) -> None:
+        """Delete what is older than the versions that stay, unfinished writes included."""
+        stay = self.versions(layer, name)[-1 - KEPT_VERSIONS:]
+        files, home = file_system(self.spark, self.folder(layer, name))
+        for f in files.listStatus(home):
+            if stay and f.getPath().toString() < stay[0]:
+                files.delete(f.getPath(), True)
+
+    def read_layer(self, layer: str, name: str) -> DataFrame:
+        """The latest complete version of a table, without asking the catalog."""
+        versions = self.versions(layer, name)
+        if not versions:
+            raise FileNotFoundError(f"no table {name} in {self.folder(layer)}")
+        found = self.spark.read.parquet(versions[-1])
+        return found.selectExpr(*[f"substring(`{c}`, 2) AS `{c.removesuffix(_TEXT)}`" if c.endswith(_TEXT) else f"`{c}`" for c in found.columns])
 
     def drop(self) -> None:
         """Remove the databases of this prefix with all that is in them."""
@@ -84,20 +136,20 @@ class Warehouse:
 
     def load_views(self, names: Iterable[str]) -> dict[str, DataFrame]:
         """Views that were saved below this root, by any session, registered again."""
-        kept = {name: self.spark.read.parquet(self.folder("mart", VIEW_PREFIX + name)) for name in names}
+        kept = {name: self.read_layer("mart", VIEW_PREFIX + name) for name in names}
         self.register_views(kept)
         return kept
 
     def list_objects(self) -> DataFrame:
         """Tables by layer, then views, by name."""
-        def kind(layer: str, name: str, found: str) -> tuple[int, str, str, str]:
+        def kind(layer: str, name: str) -> tuple[int, str, str, str]:
             view = layer == "mart" and name.startswith(VIEW_PREFIX)
-            return (len(LAYERS) if view else LAYERS.index(layer), layer, name, "VIEW" if view else found)
+            return (len(LAYERS) if view else LAYERS.index(layer), layer, name, "VIEW" if view else "TABLE")
 
-        rows = [kind(layer, t.name, t.tableType) for layer in LAYERS
+        rows = [kind(layer, t.name) for layer in LAYERS
                 for t in self.spark.catalog.listTables(self.database(layer)) if not t.isTemporary]
         saved = {name for _, _, name, _ in rows}
-        rows += [kind("mart", t.name, "VIEW") for t in self.spark.catalog.listTables()
+        rows += [kind("mart", t.name) for t in self.spark.catalog.listTables()
                  if t.isTemporary and t.name.startswith(VIEW_PREFIX) and t.name not in saved]
         found = self.spark.createDataFrame(rows, "_place int, layer string, object_name string, kind string")
         return found.orderBy("_place", "object_name").drop("_place")

@@ -18,6 +18,15 @@ def test_duplicate_rows_treat_nulls_as_equal(spark, rows):
     assert rows(p.count_duplicate_rows(df.where("false"), "dup")) == [("dup", 0)]
 
 
+def test_duplicate_rows_are_exact_when_hashes_collide(spark, rows):
+    df = spark.range(0, 600, 1, 4).selectExpr("id % 200 as a", "cast(id % 50 as string) as b", "id % 3 = 0 as c")
+    want = 600 - df.distinct().count()
+    for bits in (1, 8, 1 << 40):
+        coarse = lambda names, n=bits: [F.pmod(F.xxhash64(*names), F.lit(n)), F.lit(0)]
+        assert rows(p.count_duplicate_rows(df, "dup", coarse)) == [("dup", want)]
+    assert rows(p.count_duplicate_rows(df.toDF("n", "n", "check_name"), "dup")) == [("dup", want)]
+
+
 def test_excess_counts_nulls(spark, rows):
     df = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "k string")
     assert rows(p.one_row(df, {"x": p.count_excess("k")})) == [("x", 2)]

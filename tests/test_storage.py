@@ -4,6 +4,7 @@ import dataclasses
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.bindings import messy
 from marketloom.operators.quality import QualityGateError
@@ -114,18 +115,48 @@ def test_layer_is_replaced(spark, rows):
     assert rows(again) == [(2, "b")]
 
 
+def test_failed_write_leaves_the_table(spark, tmp_path, rows):
+    """A write that fails halfway, a table replaced by a query over itself, and readers of the version before."""
+    house = Warehouse(spark, str(tmp_path), "safe_")
+    house.ensure_layers()
+    first = house.write_layer(spark.range(0, 100, 1, 4), "mart", "t")
+    bad = spark.range(0, 100, 1, 4).select(F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("broken"))).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        house.write_layer(bad, "mart", "t")
+    assert first.count() == spark.table("safe_mart.t").count() == house.read_layer("mart", "t").count() == 100
+    doubled = house.write_layer(spark.table("safe_mart.t").selectExpr("id * 2 as id", "'x' as more"), "mart", "t")
+    assert doubled.agg(F.sum("id")).first()[0] == spark.sql("SELECT SUM(id) FROM safe_mart.t").first()[0] == 9900
+    assert first.count() == 100 and spark.table("safe_mart.t").columns == ["id", "more"]
+    house.write_layer(spark.range(3), "mart", "t")
+    assert len(os.listdir(tmp_path / "mart" / "t")) == 2 and spark.table("safe_mart.t").count() == 3  # one version before stays
+
+
+def test_partition_values_keep_their_type(spark, tmp_path, rows):
+    house = Warehouse(spark, str(tmp_path), "typed_")
+    house.ensure_layers()
+    df = spark.sql("SELECT * FROM VALUES (1, '007', DATE '2024-01-01'), (2, NULL, NULL), (3, '', DATE '2024-01-02') AS t(n, p, d)")
+    stored = house.write_layer(df, "clean", "t", ["p", "d"])
+    want = sorted(rows(df), key=str)
+    assert sorted(rows(stored, "n", "p", "d"), key=str) == sorted(rows(spark.table("typed_clean.t")), key=str) == want
+    assert spark.table("typed_clean.t").dtypes == df.dtypes
+    assert sorted(rows(house.read_layer("clean", "t").select("n", "p", "d")), key=str) == want
+    none = house.write_layer(df.limit(0), "clean", "t", ["p", "d"])
+    assert none.count() == spark.table("typed_clean.t").count() == 0 and spark.table("typed_clean.t").dtypes == df.dtypes
+
+
 def test_two_warehouses_keep_apart(spark, tmp_path, rows):
     one, two = (Warehouse(spark, str(tmp_path / n), f"{n}_") for n in ("one", "two"))
     for house, n in ((one, 1), (two, 2)):
         house.ensure_layers()
         house.write_layer(spark.range(n), "mart", "t")
         house.ensure_layers()
-    assert [spark.read.parquet(str(tmp_path / n / "mart" / "t")).count() for n in ("one", "two")] == [1, 2]
+    assert [Warehouse(spark, str(tmp_path / n)).read_layer("mart", "t").count() for n in ("one", "two")] == [1, 2]
+    assert [spark.table(f"{n}_mart.t").count() for n in ("one", "two")] == [1, 2]
     with pytest.raises(LayerClashError):
         Warehouse(spark, str(tmp_path / "three"), "one_").ensure_layers()
     # even without asking, a table lands below the root it was given
     Warehouse(spark, str(tmp_path / "four"), "one_").write_layer(spark.range(4), "mart", "u")
-    assert spark.read.parquet(str(tmp_path / "four" / "mart" / "u")).count() == 4
+    assert Warehouse(spark, str(tmp_path / "four")).read_layer("mart", "u").count() == 4
 
 
 def test_views_come_back_in_a_later_session(spark, tmp_path):
