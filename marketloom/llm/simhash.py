@@ -16,8 +16,9 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.llm.common import numbered, pick, place, raw, steps
 from marketloom.llm.components import components
@@ -174,24 +175,32 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RA
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least").alias("component_id")))
 
 
+def _hashable(name: str, kind: T.DataType) -> Column:
+    """A column in a form that can be hashed. Maps count by their entries, whatever their order."""
+    if isinstance(kind, T.MapType) and "map<" not in kind.keyType.simpleString() + kind.valueType.simpleString():
+        return F.to_json(F.array_sort(F.map_entries(name)))
+    return F.to_json(F.struct(name)) if "map<" in kind.simpleString() else F.col(name)
+
+
 def keep_one(docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row left of each component, all columns as they were: the row of the smallest
     id, then of the smallest row hash. A row without an id stays only if its component has no id.
 
-    Rows are named by 128 bits of hash over all columns, so that ids that are NULL or repeat do no
+    Rows are named by 128 bits of hash over all columns, maps included, so that ids that are NULL or repeat do no
     harm; of rows that are equal throughout, one stays.
     """
     names = docs.columns
     rows = numbered(docs)
-    hashable = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+    hashable = [_hashable(f.name, f.dataType) for f in rows.schema.fields]
     keyed = rows.withColumns({"k1": F.xxhash64(*hashable), "k2": F.xxhash64(F.lit(1), *hashable)})
     id_at, text_at = (f"c{place(names, c)}" for c in (id_col, text_col))
     printed = stored(fingerprints(keyed.select(F.col(id_at).alias("doc_id"), F.col(text_at).alias("text"), "k1", "k2"),
                                   shingle), "fingerprints")
-    named = classes(printed, radius=radius, tile=tile)
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
-    kept = (printed.join(named, "fp").groupBy("root").agg(F.min(rank).alias("kept"))
+    # Copies share a fingerprint, and map tasks hand on the least row of each; only that one meets the classes.
+    least = stored(printed.groupBy("fp").agg(F.min(rank).alias("rank")), "least")
+    kept = (least.join(classes(printed, radius=radius, tile=tile), "fp").groupBy("root").agg(F.min("rank").alias("kept"))
             .select("kept.k1", "kept.k2"))
     return (keyed.join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
             .drop("k1", "k2").toDF(*names))

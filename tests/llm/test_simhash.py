@@ -83,3 +83,37 @@ def test_small_cases(spark):
 def test_rows_equal_throughout_leave_one(spark):
     frame = spark.createDataFrame([(1, PROSE, "a")] * 3 + [(None, "no id", "b")] * 2, "doc_id long, text string, k1 string")
     assert sorted(r.k1 for r in simhash.keep_one(frame).collect()) == ["a", "b"]
+
+
+def test_rows_that_differ_in_a_map_are_different(spark):
+    """Of equal texts without an id one row stays per component; maps that list the same entries are equal."""
+    shape = "doc_id long, text string, m map<string,int>, deep array<map<int,string>>"
+    one, two = {"a": 1, "b": 2}, {"b": 2, "a": 1}
+    rows = [(1, PROSE, one, [{1: "x"}]), (1, PROSE, two, [{1: "x"}]), (2, "other words", {"a": 2}, None), (2, "other words", None, None)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, shape))
+    assert kept.columns == ["doc_id", "text", "m", "deep"]
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, PROSE), (2, "other words")]
+    hashed = spark.createDataFrame(rows, shape).select(*[simhash._hashable(f.name, f.dataType).alias(f.name) for f in kept.schema.fields])
+    assert [r.m for r in hashed.collect()][0] == [r.m for r in hashed.collect()][1] and len({r.m for r in hashed.collect()}) == 3
+
+
+def test_a_hot_fingerprint_meets_its_class_as_one_row(spark):
+    """Half of all rows share a fingerprint; the join by fingerprint sees it once."""
+    docs = spark.range(0, 4000, 1, 8).selectExpr(
+        "id as doc_id", "if(id % 2 = 0, 'the very same words in every copy', concat('text number ', id, ' of its own ', id * 7)) as text")
+    seen = []
+    really = simhash.stored
+
+    def kept(df, label="table"):
+        out = really(df, label)
+        seen.append((label, out))
+        return out
+
+    simhash.stored = kept
+    try:
+        left = simhash.keep_one(docs)
+    finally:
+        simhash.stored = really
+    least = dict(seen)["least"]
+    assert least.count() == least.select("fp").distinct().count()
+    assert [r.doc_id for r in left.where("doc_id % 2 = 0").collect()] == [0]
