@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 #: Text that one step in a Python worker handles at once; Spark's own Arrow batches hold 64 MB at most.
 STEP_BYTES = 4 << 20
 
+#: Bits that tell rows of wanted keys from most others: 8 MB.
+BITMAP = 1 << 26
+
 #: What separates words: the ASCII white space, which ``bytes.split()`` splits on as well.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -57,3 +60,26 @@ def steps(batches: Iterable[pa.RecordBatch], column: str, most: int = STEP_BYTES
                 start, size = i + 1, 0
         if start < len(sizes):
             yield batch.slice(start)
+
+
+def maybe_among(rows: DataFrame, column: str, ids: DataFrame, flag: str = "maybe") -> DataFrame:
+    """The rows with a flag: true for all rows whose id is among ``ids`` (a column of the same name), and for a few others.
+
+    One bit for each of BITMAP hash values tells most other rows apart before anything is shuffled. The
+    bitmap is broadcast; its size is fixed, whatever the number of ids: as they grow beyond it, more
+    rows are flagged, and a join that follows still decides.
+    """
+    slot = F.pmod(F.xxhash64(F.col(column)), F.lit(BITMAP))
+    width = 8 * 4096  # bits of one bitmap of Spark's
+    bitmaps = (ids.select(slot.alias("_slot"))
+               .groupBy(F.floor(F.col("_slot") / width).alias("_part"))
+               .agg(F.bitmap_construct_agg(F.col("_slot") % width).alias("_bits")))
+    at = F.col("_at") % width
+    byte = F.ascii(F.decode(F.col("_bits").substr((at / 8).cast("int") + 1, F.lit(1)), "ISO-8859-1"))
+    met = rows.withColumn("_at", slot).join(F.broadcast(bitmaps), F.floor(F.col("_at") / width) == F.col("_part"), "left")
+    return met.withColumn(flag, F.coalesce(F.bit_get(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("_at", "_part", "_bits")
+
+
+def likely(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose id is among ``ids`` (a column of the same name), and a few others."""
+    return maybe_among(rows, column, ids, "_maybe").where("_maybe").drop("_maybe")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import numbered, pick, place, raw, steps
+from marketloom.llm.common import likely, numbered, pick, place, raw, steps
 from marketloom.session import stored
 
 #: Words of a window, and of the seed that names it.
@@ -38,8 +38,6 @@ WINDOW, GRAM = 50, 8
 CHUNK = 128
 #: Characters of passages compiled into one automaton.
 SHARD_CHARS = 1 << 19
-#: Bits that tell documents with shared runs from others: 8 MB.
-BITMAP = 1 << 26
 #: Word hashes a worker remembers.
 REMEMBERED = 150_000
 
@@ -88,9 +86,19 @@ def span_hashes(h: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int)
     return _mixed((sums[ends] - sums[starts]) * _power(inverse, len(h) + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
-def runs_of(words: list[bytes], n: int = WINDOW, gram: int = GRAM):
+def _gram(n: int) -> int:
+    """Words of a seed: fewer in short windows."""
+    return min(GRAM, max(1, n // 2))
+
+
+def _base(n: int) -> int:
+    """Above the number of windows that can share a seed's place, so that one number holds a place and a count."""
+    return 1 << max(6, (n - 1).bit_length())
+
+
+def runs_of(words: list[bytes], n: int = WINDOW):
     """Seed, whole-run hash, first window and number of windows of each distinct run of a text."""
-    h = word_hashes(words)
+    h, gram = word_hashes(words), _gram(n)
     grams = len(h) - gram + 1
     powers = _power(_BASES[0], gram)
     g = np.zeros(grams, np.uint64)
@@ -107,8 +115,8 @@ def runs_of(words: list[bytes], n: int = WINDOW, gram: int = GRAM):
 
 
 def _runs(rows: DataFrame, n: int) -> DataFrame:
-    """doc_id, seed, run, at (first window * 64 + windows - 1). Rows without an id take no part."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    """doc_id, seed, run, at (first window times ``_base(n)``, plus windows - 1). Rows without an id take no part."""
+    kind, base = rows.schema["doc_id"].dataType.simpleString(), _base(n)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text"):
@@ -117,7 +125,7 @@ def _runs(rows: DataFrame, n: int) -> DataFrame:
                 words = text.split()
                 if len(words) >= n:
                     seeds, whole, starts, counts = runs_of(words, n)
-                    found.append((seeds, whole, starts * 64 + counts - 1))
+                    found.append((seeds, whole, starts * base + counts - 1))
                     origin.append(np.full(len(seeds), i))
             if found:
                 seeds, whole, at = (np.concatenate(x) for x in zip(*found))
@@ -131,7 +139,7 @@ def _runs(rows: DataFrame, n: int) -> DataFrame:
 
 def _windows(texts: DataFrame, n: int) -> DataFrame:
     """doc_id, w1, w2 (128 bits of hash) and start of the windows in the runs listed in ``ats``."""
-    kind = texts.schema["doc_id"].dataType.simpleString()
+    kind, base = texts.schema["doc_id"].dataType.simpleString(), _base(n)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "text", 2 << 20):
@@ -139,7 +147,7 @@ def _windows(texts: DataFrame, n: int) -> DataFrame:
             for i, (text, ats) in enumerate(zip(batch.column("text").to_pylist(), batch.column("ats").to_pylist())):
                 h = word_hashes(text.split())
                 ats = np.array(ats, np.int64)
-                first, count = ats // 64, ats % 64 + 1
+                first, count = ats // base, ats % base + 1
                 starts = np.unique(np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
                 starts = starts[starts + n <= len(h)]  # a repeated id may stand before another text
                 w1 = span_hashes(h, starts, starts + n, _BASES[0])
@@ -155,24 +163,6 @@ def _windows(texts: DataFrame, n: int) -> DataFrame:
     return texts.mapInArrow(run, f"doc_id {kind}, w1 bigint, w2 bigint, start bigint")
 
 
-def likely(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """The rows whose id is among ``ids`` (a column of the same name), and a few others.
-
-    One bit for each of BITMAP hash values tells most other rows apart before their texts are shuffled. The
-    bitmap is broadcast; its size is fixed, whatever the number of ids: as they grow beyond it, more
-    rows pass, and the join that follows still decides.
-    """
-    slot = F.pmod(F.xxhash64(F.col(column)), F.lit(BITMAP))
-    width = 8 * 4096  # bits of one bitmap of Spark's
-    bitmaps = (ids.select(slot.alias("slot"))
-               .groupBy(F.floor(F.col("slot") / width).alias("part"))
-               .agg(F.bitmap_construct_agg(F.col("slot") % width).alias("bits")))
-    at = F.col("at") % width
-    byte = F.ascii(F.decode(F.col("bits").substr((at / 8).cast("int") + 1, F.lit(1)), "ISO-8859-1"))
-    return (rows.withColumn("at", slot).join(F.broadcast(bitmaps), F.floor(F.col("at") / width) == F.col("part"))
-            .where(F.bit_get(byte, (at % 8).cast("int")) == 1).drop("at", "part", "bits"))
-
-
 def routes(rows: DataFrame, n: int = WINDOW) -> DataFrame:
     """doc_id, provider (a smaller id) and chunk (of the provider's text) wherever windows are shared.
 
@@ -187,10 +177,10 @@ def routes(rows: DataFrame, n: int = WINDOW) -> DataFrame:
 
     # Whole runs seen in an earlier document.
     known = texts.where("holders > 1").select("seed", "run", "first", "first_at")
+    base = _base(n)
+    chunks = f"sequence(first_at div {base} div {CHUNK}, (first_at div {base} + first_at % {base}) div {CHUNK})"
     settled = (runs.select("seed", "run", "doc_id").join(known, ["seed", "run"]).where("doc_id > first")
-               .select("doc_id", F.col("first").alias("provider"), F.explode(F.array_distinct(F.array(
-                   F.floor(F.col("first_at") / 64 / CHUNK),
-                   F.floor((F.floor(F.col("first_at") / 64) + F.col("first_at") % 64) / CHUNK)))).alias("chunk"))
+               .select("doc_id", F.col("first").alias("provider"), F.explode(F.expr(chunks)).alias("chunk"))
                .distinct())
 
     # Windows of runs that differ around a shared seed, from the first holder of each.
@@ -335,6 +325,8 @@ def _strip(rows: DataFrame, n: int) -> DataFrame:
 
 def _with_passages(rows: DataFrame, n: int) -> DataFrame:
     """Rows (doc_id, text and others) with the passages that earlier documents provide for them."""
+    if n < 1:
+        raise ValueError("a window has one word or more")
     sent = stored(routes(rows.select("doc_id", "text"), n), "routes")
     wanted = stored(sent.groupBy("provider").agg(F.collect_set("chunk").alias("chunks")), "wanted")
     sources = (likely(rows.select(F.col("doc_id").alias("provider"), raw("text").alias("text")), "provider", wanted)
@@ -350,7 +342,11 @@ def repeats(docs: DataFrame, *, n: int = WINDOW, id_col: str = "doc_id", text_co
 
     A word goes if a window of ``n`` words around it also starts in a row with a smaller doc_id. NULL texts
     have no words. Rows without an id lose nothing and take nothing from others; rows that repeat an
-    id do not take from each other. Windows are judged on the input.
+    id do not take from each other. Windows are judged on the input. ``n`` may be any number from 1.
+
+    Hashes say which passages a document may share, so its automaton holds these alone instead of all recurring
+    passages, whose automata would have to see every document. Every shared window is among them, and
+    what the hashes name wrongly the words around an occurrence refute.
     """
     rows = _with_passages(pick(docs, doc_id=id_col, text=text_col), n).drop("text")
     return _strip(rows, n).select("doc_id", "n_words", "n_removed", "removed", F.col("clean").cast("string").alias("clean_text"))

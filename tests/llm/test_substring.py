@@ -46,6 +46,24 @@ def test_random_texts(spark, seed):
     assert result(spark, docs) == sorted(brute.substring(docs), key=str)
 
 
+@pytest.mark.parametrize("n", [1, 2, 5, 8, 50, 72, 130, 200])
+def test_windows_of_any_size(spark, n):
+    """Long shared stretches, stretches a word too short, and texts of few different words."""
+    draw = random.Random(n)
+    shared = [[f"w{draw.randrange(4000)}" for _ in range(k)] for k in (n, n + 1, 2 * n + 3, max(1, n - 1), 500)]
+    docs = []
+    for i in range(30):
+        parts = draw.sample(shared, 2) + [[f"own{i}x{j}" for j in range(draw.randrange(2 * n))], [draw.choice("ab")] * draw.randrange(n + 20)]
+        draw.shuffle(parts)
+        docs.append((draw.randrange(25), " ".join(w for p in parts for w in p)))
+    assert result(spark, docs, n=n) == sorted(brute.substring(docs, n), key=str)
+
+
+def test_windows_need_a_word(spark):
+    with pytest.raises(ValueError):
+        result(spark, [(1, "a")], n=0)
+
+
 def test_small_cases(spark):
     passage = " ".join(f"w{i}é" for i in range(50))
     docs = [(2, f"x {passage} y"), (1, passage), (3, passage[:-3]), (1, passage), (7, f"A\x85b {passage}")]
