@@ -226,7 +226,7 @@ good AS (SELECT doc_id, MIN(quality) >= 1 AS good FROM labels WHERE quality IS N
 holdout AS (SELECT lang, rule, step, cutoff, COUNT(*) FILTER (good) AS n, COUNT(*) FILTER (good AND is_out) AS k,
                    COUNT(*) FILTER (NOT good AND is_out) AS bad
             FROM valued JOIN good USING (doc_id) WHERE NOT base_failed GROUP BY ALL),
-able AS (SELECT *, (SELECT COUNT(DISTINCT COALESCE(lang, '')) FROM holdout WHERE n >= {math.log(1 / level) / -math.log1p(-share)}) AS strata
+able AS (SELECT *, (SELECT COUNT(*) FROM (SELECT DISTINCT lang FROM holdout WHERE n >= {math.log(1 / level) / -math.log1p(-share)})) AS strata
          FROM holdout WHERE n >= {math.log(1 / level) / -math.log1p(-share)}),
 judged AS (SELECT *, k <= {share} * n AND list_sum(list_transform(generate_series(0, k), lambda i: exp(
                lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share}) + (n - i) * ln(1 - {share}))))

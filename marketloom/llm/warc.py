@@ -6,7 +6,7 @@ payload, under fresh headers. Reading joins each revisit to the response it refe
 
 Archives are written by Spark's own committer as text files whose lines end in the last byte of a
 record, so they lie wherever Spark can write, and a lost task leaves nothing behind. The files are
-WARC, records one after the other, each file packed with gzip as a whole (or not at all, if asked).
+WARC, records one after the other, each packed with gzip on its own (or not at all, if asked).
 """
 
 from __future__ import annotations
@@ -25,13 +25,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import pick, raw, steps
+from marketloom.llm.common import maybe_among, pick, raw, steps
 from marketloom.session import stored
 
 #: Smaller payloads are always stored.
 MIN_BYTES = 0
 #: Payload bytes of an archive file, on average. A reader holds one file at a time.
 VOLUME_BYTES = 16 << 20
+#: Bytes of a record in one gzip member, below 16 MB.
+MEMBER_BYTES = 8 << 20
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _ROOM = uuid.uuid5(uuid.NAMESPACE_URL, "marketloom/warc")
@@ -70,6 +72,11 @@ def build(page_id: object, uri: str | None, payload: bytes, sha1: str, original:
     return "\r\n".join(head).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
 
 
+def packed(record: bytes) -> bytes:
+    """A record as one gzip member, or several if it is very long. The last byte is zero: it counts 16 MB of content."""
+    return b"".join(gzip.compress(record[i:i + MEMBER_BYTES], mtime=0) for i in range(0, len(record), MEMBER_BYTES))
+
+
 def parse(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers (names in lower case) and block of each record; blocks are taken by their stated length."""
     while first := stream.readline():
@@ -108,6 +115,10 @@ def write(pages: DataFrame, path: str, *, min_bytes: int = MIN_BYTES, volume_byt
           date: str | None = None, compression: str = "gzip", id_col: str = "page_id", uri_col: str = "url", payload_col: str = "html") -> None:
     """Write a record for each row to archives below ``path``, equal payloads once.
 
+    Rows are dealt to archives by their place in ``pages``, so a payload or id that very many rows share fills no
+    archive beyond the others. Payloads are shuffled once: rows that no revisit's key can name go straight to
+    their archive, and of the others only headers go on after meeting their originals.
+
     A NULL payload is empty. A row without an id refers to the row of the largest id with its payload; if
     none has an id, all are responses. Rows that share the largest id are all responses. Other columns
     are not read. An empty table writes no record.
@@ -117,19 +128,27 @@ def write(pages: DataFrame, path: str, *, min_bytes: int = MIN_BYTES, volume_byt
     rows = rows.withColumn("sha1", F.sha1("payload"))
     total = rows.agg(F.sum(F.octet_length("payload"))).first()[0] or 0
     again = stored(originals(rows, min_bytes), "revisits")
-    dealt = rows.withColumn("key", _key()).repartition(max(1, math.ceil(total / volume_bytes)), "key").join(again, "key", "left")
+    known = maybe_among(rows.withColumns({"key": _key(), "place": F.monotonically_increasing_id()}), "key", again)
+    alone = known.where("not maybe").withColumns({"original": F.lit(None).cast(again.schema["original"].dataType),
+                                                  "original_uri": F.lit(None).cast("string")})
+    met = known.where("maybe").join(again, "key", "left")
     # The payload of a revisit is not handed on.
-    ready = dealt.select("page_id", "uri", "sha1", "original", "original_uri",
-                         F.when(F.col("original").isNull(), F.col("payload")).otherwise(F.lit(b"")).alias("payload"))
+    ready = alone.unionByName(met).select(
+        "page_id", "uri", "sha1", "original", "original_uri", "place",
+        F.when(F.col("original").isNull(), F.col("payload")).otherwise(F.lit(b"")).alias("payload"))
+    dealt = ready.repartition(max(1, math.ceil(total / volume_bytes)), "place")
+    in_gzip = {"gzip": True, "none": False}[compression]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches, "payload"):
             got = [build(r["page_id"], r["uri"], r["payload"], r["sha1"], r["original"], r["original_uri"], date,
-                         r["original"] is not None)[:-1] for r in batch.to_pylist()]
+                         r["original"] is not None) for r in batch.to_pylist()]
+            got = [(packed(g) if in_gzip else g)[:-1] for g in got]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary())], ["value"])
 
     # The line separator is the last byte of each record.
-    ready.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.text(path, compression=compression, lineSep="\n")
+    (dealt.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
+     .write.text(path, compression="none", lineSep="\0" if in_gzip else "\n"))
 
 
 def read(spark: SparkSession, path: str, *, id_type: str = "bigint", with_payload: bool = True) -> DataFrame:

@@ -4,6 +4,8 @@ import base64
 import gzip
 import hashlib
 import io
+import random
+import zlib
 
 import pytest
 
@@ -85,3 +87,35 @@ def test_files_are_warc(spark, tmp_path, compression):
 def test_empty(spark, tmp_path):
     warc.write(spark.createDataFrame([], SHAPE), str(tmp_path / "none"))
     assert warc.resolve(warc.read(spark, str(tmp_path / "none"))).count() == 0
+
+
+def test_hot_payload_fills_no_archive(spark, tmp_path):
+    """Equal pages without an id are all responses; copies with ids are revisits; both spread over files of bounded size."""
+    draw = random.Random(3)
+    html = "".join(draw.choice("abcdefghijklmnop <>&") for _ in range(300))
+    pages = spark.range(0, 100_000, 1, 8).selectExpr(
+        "if(id % 3 = 0, null, id) as page_id", "'u' as url", f"if(id % 3 < 2, '{html}', repeat(string(id), 40)) as html")
+    pages = pages.where("not (page_id is not null and page_id % 3 = 1)").unionByName(
+        spark.range(0, 20_000, 1, 4).selectExpr("id * 3 + 1 as page_id", "'v' as url", "'shared by many' as html"))
+    volume = 1 << 20
+    warc.write(pages, str(tmp_path / "out"), volume_bytes=volume, compression="none")
+    sizes = [f.stat().st_size for f in (tmp_path / "out").glob("part-*")]
+    assert len(sizes) > 10 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    counted = {(r.record_type, r["count"]) for r in warc.read(spark, str(tmp_path / "out"), with_payload=False).groupBy("record_type").count().collect()}
+    assert counted == {("response", 66_667 + 1), ("revisit", 19_999)}
+
+
+def test_each_record_is_a_gzip_member(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", f"page {i} " * (3_000_000 if i == 3 else 9)) for i in range(6)], SHAPE).repartition(1)
+    warc.write(pages, str(tmp_path / "out"))
+    members = 0
+    for f in (tmp_path / "out").glob("part-*"):
+        data = f.read_bytes()
+        while data:
+            one = zlib.decompressobj(31)
+            part = one.decompress(data)
+            members += part.startswith(b"WARC/")
+            data = one.unused_data
+    assert members == 6
+    got = {r.page_id: bytes(r.payload).decode() for r in warc.read(spark, str(tmp_path / "out")).collect()}
+    assert got == {r.page_id: r.html for r in pages.collect()}
