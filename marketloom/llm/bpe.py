@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from marketloom.llm.common import pick, raw, steps
+from marketloom.llm.common import pick, raw, remembers, steps
 
 #: A worker remembers the ids of the last words it met, one to two times this many.
 REMEMBERED = 120_000
@@ -224,6 +224,9 @@ def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+remembers("tokens", load.cache_clear)
+
+
 def id_lists(encoded: list[bytes]) -> pa.Array:
     """Lists of ids from their bytes."""
     offsets = np.zeros(len(encoded) + 1, np.int32)
@@ -243,7 +246,7 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", holder="tokens"):
             ids = id_lists([bpe.encode(t) for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
@@ -262,7 +265,7 @@ def decode(encoded: DataFrame, path: str, *, id_col: str = "doc_id", ids_col: st
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for batch in batches:
-            for part in steps([batch], "ids"):
+            for part in steps([batch], "ids", holder="tokens"):
                 lists = part.column("ids")
                 lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
                 ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)

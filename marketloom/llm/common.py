@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -46,8 +47,37 @@ def raw(text: Column | str) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")
 
 
-def steps(batches: Iterable[pa.RecordBatch], column: str, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the named column holds about ``most`` bytes (or 4-byte numbers) in each."""
+_memories: dict[str, list[Callable[[], None]]] = {}
+_holder = ""
+
+
+def remembers(holder: str, forget: Callable[[], None]) -> None:
+    """Name an operator whose worker processes remember things between tasks, and how they let go of them."""
+    _memories.setdefault(holder, []).append(forget)
+
+
+def _hand_over(holder: str) -> None:
+    """A worker that turns to another operator gives back what earlier ones remember."""
+    global _holder
+    if holder != _holder:
+        for name, forgets in _memories.items():
+            if name != holder:
+                for forget in forgets:
+                    forget()
+        _holder = holder
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass  # another C library, which returns memory by itself or not at all
+
+
+def steps(batches: Iterable[pa.RecordBatch], column: str, most: int = STEP_BYTES, holder: str = "") -> Iterator[pa.RecordBatch]:
+    """Cut batches so that the named column holds about ``most`` bytes (or 4-byte numbers) in each.
+
+    Operators that remember things between tasks say so by ``holder``; what others remember is let go.
+    """
+    _hand_over(holder)
     for batch in batches:
         values = batch.column(column)
         length, unit = (pc.list_value_length, 4) if pa.types.is_list(values.type) else (pc.binary_length, 1)

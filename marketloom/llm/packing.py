@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.bpe import WordBpe, id_lists
-from marketloom.llm.common import pick, raw, steps
+from marketloom.llm.common import pick, raw, remembers, steps
 from marketloom.session import stored
 
 #: Tokens of a sequence.
@@ -47,6 +47,9 @@ def library_ids(path: str) -> LibraryIds:
     return LibraryIds(path)
 
 
+remembers("tokens", library_ids.cache_clear)
+
+
 class OpenBins:
     """A fixed number of open bins in a bitset keyed by free space."""
 
@@ -97,7 +100,7 @@ def pieces(docs: DataFrame, path: str, *, length: int = LENGTH, end: int = END,
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = library_ids(path)
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", holder="tokens"):
             origin, number, parts = [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 ids = bpe.encode(text) + ending

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import likely, numbered, pick, place, raw, steps
+from marketloom.llm.common import likely, numbered, pick, place, raw, remembers, steps
 from marketloom.session import stored
 
 #: Words of a window, and of the seed that names it.
@@ -44,6 +44,8 @@ REMEMBERED = 150_000
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, so that they have an inverse modulo 2**64
 _remembered: dict[bytes, int] = {}
 _powers: dict[int, np.ndarray] = {}
+remembers("words", _remembered.clear)
+remembers("words", _powers.clear)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -119,7 +121,7 @@ def _runs(rows: DataFrame, n: int) -> DataFrame:
     kind, base = rows.schema["doc_id"].dataType.simpleString(), _base(n)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", holder="words"):
             found, origin = [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 words = text.split()
@@ -142,7 +144,7 @@ def _windows(texts: DataFrame, n: int) -> DataFrame:
     kind, base = texts.schema["doc_id"].dataType.simpleString(), _base(n)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text", 2 << 20):
+        for batch in steps(batches, "text", 2 << 20, "words"):
             found, origin = [], []
             for i, (text, ats) in enumerate(zip(batch.column("text").to_pylist(), batch.column("ats").to_pylist())):
                 h = word_hashes(text.split())
@@ -202,7 +204,7 @@ def _chunks(texts: DataFrame, n: int) -> DataFrame:
     kind = texts.schema["provider"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", holder="words"):
             origin, number, cut = [], [], []
             for i, (text, chunks) in enumerate(zip(batch.column("text").to_pylist(), batch.column("chunks").to_pylist())):
                 words = text.split()
@@ -307,7 +309,7 @@ def _strip(rows: DataFrame, n: int) -> DataFrame:
              pa.array(clean, pa.binary())], [*names, "n_words", "n_removed", "removed", "clean"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for step in steps(batches, "raw"):
+        for step in steps(batches, "raw", holder="words"):
             sizes = [sum(len(p["words"]) for p in x or ()) for x in step.column("passages").to_pylist()]
             start = size = 0
             for i, own in enumerate(sizes):
