@@ -226,7 +226,7 @@ def cluster_sql(k: int = 40, rounds: int = 5, dims: int = 64, scale: int = SCALE
                 FROM (SELECT best, unnest(v) AS x, unnest(generate_series(1, {dims})) AS p FROM a{i}) GROUP BY ALL) GROUP BY c)""")
             parts.append(f"c{i + 1} AS MATERIALIZED (SELECT c{i}.c, COALESCE(mean, mid) AS mid FROM c{i} LEFT JOIN m{i} ON c{i}.c = m{i}.c)")
     return "WITH " + ",\n".join(parts) + f"""
-SELECT vec_id, CAST(best[2] AS BIGINT) AS cluster, best[1] AS distance,
+SELECT vec_id, CAST(best[2] AS INTEGER) AS cluster, best[1] AS distance,
        CAST(SUM(best[1]) OVER (PARTITION BY best[2]) AS BIGINT) AS cluster_inertia, CAST(SUM(best[1]) OVER () AS BIGINT) AS inertia,
        sha256(array_to_string(mid, ',')) AS centroid_sha256
 FROM a{rounds} JOIN c{rounds} ON c{rounds}.c = best[2]"""
