@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketloom.sources.exports import HEADER
+from marketloom.sources.records import Loaded, load
 
 # Columns of the seven extracts, all text.
 RAW_COLUMNS = {
@@ -36,6 +40,21 @@ def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
                           mode="FAILFAST", enforceSchema=False)
 
 
+def load_raw(spark: SparkSession, path: str, table: str, strict: bool = False) -> Loaded:
+    """A1 with records rather than lines: quoted values may hold line breaks, and what does not fit is set aside.
+
+    ``strict`` raises instead. Values are those of ``read_raw``.
+    """
+    return load(spark, path, raw_schema(table), strict)
+
+
+def load_extracts(spark: SparkSession, folder: str, suffix: str = ".csv") -> tuple[dict[str, DataFrame], DataFrame]:
+    """All extracts, and the records of all of them that do not fit: extract, file, reason, record."""
+    loaded = {t: load_raw(spark, f"{folder.rstrip('/')}/{t}{suffix}", t) for t in RAW_COLUMNS}
+    unfit = [found.unfit.select(F.lit(t).alias("extract"), "*") for t, found in loaded.items()]
+    return {t: found.rows for t, found in loaded.items()}, reduce(DataFrame.unionByName, unfit)
+
+
 def read_extracts(spark: SparkSession, folder: str, suffix: str = ".csv") -> dict[str, DataFrame]:
     return {t: read_raw(spark, f"{folder.rstrip('/')}/{t}{suffix}", t) for t in RAW_COLUMNS}
 
