@@ -8,6 +8,8 @@ from marketloom.bindings import star
 from marketloom.operators import modelling as m
 from marketloom.operators.ranking import first_within
 from marketloom.plans.mart import DIM_COLUMNS
+from marketloom.session import fresh_folder, stored
+from marketloom.sources.numbers import KeptNumbers
 from queries import query
 from queries import sql as s
 
@@ -42,6 +44,21 @@ def _(spark, folder):
     return star.numbered_facts(spark, folder).select("order_id", "customer_id", "customer_order_seq")
 
 
+@query("order_seq_kept", "D10", s.on_fact("""
+    SELECT order_id, customer_id, customer_order_seq FROM fact"""))
+def _(spark, folder):
+    """Numbers over three runs: all days but the last, the last, and one in the middle anew."""
+    orders = stored(star.facts(spark, folder).select("order_id", "customer_id", "ordered_at"), "orders")
+    kept = KeptNumbers(spark, fresh_folder(spark, "numbers"))
+    day = F.to_date("ordered_at")
+    last, some = orders.agg(F.max(day), F.percentile_approx(F.unix_timestamp(day.cast("timestamp")), 0.5)
+                            .cast("timestamp").cast("date")).first()
+    kept.update(orders.where(day < last))
+    kept.update(orders, [last])
+    kept.update(orders, [some])
+    return kept.numbers()
+
+
 @query("first_orders", "D11", s.on_fact("""
     SELECT customer_id, order_id, order_date AS first_order_date, order_month AS cohort_month, promo_code, order_status,
            payment_group, is_late FROM fact WHERE customer_order_seq = 1"""))
