@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+from functools import reduce
 
-from marketloom.bindings import star
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from marketloom.bindings import messy, star
+from marketloom.operators import distinct
 from marketloom.plans import views
 from marketloom.session import stored
 from queries import query
@@ -43,6 +48,37 @@ on_facts("headline_kpis", "E1", f"""
            {s.pct(_COD, 'COUNT(*)')} AS cod_share_pct, {_RTO} AS rto_rate_pct, {_LATE} AS late_delivery_pct
     FROM fact""")(views.headline_kpis)
 
+
+
+@query("customers_by_period", "E1 E11", s.on_fact("""
+    SELECT 'month' AS grain, order_month AS period, COUNT(DISTINCT customer_id) AS customers FROM fact GROUP BY ALL
+    UNION ALL SELECT 'quarter', CAST(DATE_TRUNC('quarter', order_month) AS DATE), COUNT(DISTINCT customer_id) FROM fact GROUP BY ALL
+    UNION ALL SELECT 'all', NULL, COUNT(DISTINCT customer_id) FROM fact"""))
+def _(spark, folder):
+    """One pass makes bitmaps of months; all coarser periods add these up."""
+    months = stored(distinct.bitmaps(star.facts(spark, folder), "customer_id", ["order_month"]), "months")
+    quarters = months.withColumn("quarter", F.trunc("order_month", "quarter"))
+    found = [("month", "order_month", distinct.counted(months, ["order_month"], "customers")),
+             ("quarter", "quarter", distinct.counted(quarters, ["quarter"], "customers")),
+             ("all", None, distinct.counted(months, [], "customers"))]
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(grain).alias("grain"), (F.col(c) if c else F.lit(None)).cast("date").alias("period"), "customers")
+        for grain, c, df in found])
+
+
+@query("accounts_by_courier", "E1", s.on_raw("""
+    SELECT courier, COUNT(DISTINCT customer_id) AS accounts FROM raw_orders GROUP BY courier
+    UNION ALL SELECT 'all', COUNT(DISTINCT customer_id) FROM raw_orders""", "raw_orders"))
+def _(spark, folder):
+    """Ids that are text, numbered by a dictionary that later rows extend."""
+    orders = messy.extract(spark, folder, "orders").select("order_id", "customer_id", "courier")
+    known = stored(distinct.dictionary(orders.where("courier < 'P'"), "customer_id", "number"), "known")
+    known = stored(distinct.extended(known, orders, "customer_id", "number"), "known")
+    maps = stored(distinct.bitmaps(distinct.numbered_by(orders, known, "customer_id", "order_id"), "number", ["courier"]), "maps")
+    return distinct.counted(maps, ["courier"], "accounts").unionByName(
+        distinct.counted(maps, [], "accounts").withColumn("courier", F.lit("all")))
+
+
 MONTHLY = f"""monthly AS (
     SELECT order_month, COUNT(*) AS orders, COUNT(*) FILTER (order_status = 'Delivered') AS delivered_orders,
            SUM(gmv) AS gmv, SUM(net_revenue) AS net_revenue,
