@@ -154,8 +154,9 @@ def classes(printed: DataFrame, *, radius: int = RADIUS, tile: int = TILE) -> Da
     first = stored(printed.groupBy("fp").agg(F.min("doc_id").alias("first")), "fps")
     roots = stored(components(links(first.select("fp"), radius, tile), F.col("a"), F.col("b"))
                    .withColumnRenamed("node", "fp"), "roots")
-    # Only fingerprints that have links meet again; any other is its own component.
-    least = first.join(roots, "fp").groupBy("root").agg(F.min("first").alias("least"))
+    # Only fingerprints that have links meet again; any other is its own component. Kept, so that the join can
+    # split a component of very many fingerprints: a side grouped by the root would pin each root to one task.
+    least = stored(first.join(roots, "fp").groupBy("root").agg(F.min("first").alias("least")), "root_least")
     return (first.join(roots.join(least, "root"), "fp", "left")
             .select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "first").alias("least")))
 

@@ -117,3 +117,19 @@ def test_a_hot_fingerprint_meets_its_class_as_one_row(spark):
     least = dict(seen)["least"]
     assert least.count() == least.select("fp").distinct().count()
     assert [r.doc_id for r in left.where("doc_id % 2 = 0").collect()] == [0]
+
+
+def test_a_large_component_is_not_pinned_to_a_task(spark):
+    """Fingerprints meet their component straight from storage, so the join by root can be split; a chain of half of
+    all fingerprints is one component."""
+    chain, value = [], 0
+    for bit in range(40):
+        value |= 1 << bit
+        chain.append(value)
+    apart = [(i * 0x9E3779B97F4A7C15) % 2**63 for i in range(1, 41)]
+    printed = spark.createDataFrame([(i, f) for i, f in enumerate(chain + apart)], "doc_id long, fp long")
+    named = simhash.classes(printed)
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Join" in plan
+    got = {r.fp: r.least for r in named.collect()}
+    assert len(got) == 80 and {got[f] for f in chain} == {0}
