@@ -1,9 +1,10 @@
 """Data-quality checks: declared per table, answered by one ledger of keys and faults.
 
 Every table is read once and turned into ledger lines: one for each key that a check asks about, tagged with
-the table it came from, and one for each fault of the row itself. Lines are counted per key before and after
-one shuffle; then a key's counts tell how often each table holds it, and so which rows repeat
-a key or lack a parent.
+the table it came from, and one for each fault of the row itself. A line is a number, which says what is counted
+in which slot, and a text; it is made by unpivoting the row, which builds no array or struct for it. Lines are
+counted per key before and after one shuffle; then a key's counts tell how often each table holds it, and so which
+rows repeat a key or lack a parent.
 """
 
 from __future__ import annotations
@@ -91,8 +92,11 @@ class _Ledger:
         return max((len(s) for s in self.subjects.values()), default=1)
 
 
-def _line(subject: int, slot: int, key: Column) -> Column:
-    return F.struct(F.lit(subject).alias("subject"), F.lit(slot).alias("slot"), key.alias("key"))
+def _lines(df: DataFrame, keys: Mapping[int, Column], faults: Mapping[int, Column]) -> DataFrame:
+    """line, key: every row's keys as text, NULL ones too, and a line with an empty text for each fault that it has."""
+    texts = {n: key.cast("string") for n, key in keys.items()} | {n: F.when(bad, F.lit("")) for n, bad in faults.items()}
+    entered = df.select(*[text.alias(str(n)) for n, text in texts.items()]).unpivot([], [str(n) for n in texts], "line", "key")
+    return entered.where(F.col("key").isNotNull() | F.col("line").isin(*map(str, keys)))
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Mapping[str, Sequence[AnyCheck]]) -> DataFrame:
@@ -102,35 +106,39 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Mapping[str, Sequence[An
     checks together take one shuffle, of one row for each key and map task.
     """
     ledger = _Ledger()
-    lines: dict[str, dict[tuple[int, int], Column]] = {}
+    keys: dict[str, dict[tuple[int, int], Column]] = {}
+    faults: dict[str, dict[tuple[int, int], Column]] = {}
     totals: list[tuple[str, Column]] = []
 
-    def note(table: str, subject: str, line) -> tuple[Column, Column]:
+    def note(kind: dict[str, dict[tuple[int, int], Column]], table: str, subject: str, entry: Column) -> tuple[Column, Column]:
         """Enter a line for each row of the table; its subject's rows of the ledger, and the table's count in them."""
         at, slot = ledger.slot(subject, table)
-        lines.setdefault(table, {}).setdefault((at, slot), line(at, slot))
+        kind.setdefault(table, {}).setdefault((at, slot), entry)
         return F.col("subject") == at, F.col(f"n{slot}")
 
     for table, declared in checks.items():
         for check in declared:
             if isinstance(check, Check):
-                own, n = note(table, f"fault {len(ledger.subjects)}", lambda at, slot, bad=check.failing: F.when(
-                    bad, _line(at, slot, F.lit(None).cast("string"))))
+                own, n = note(faults, table, f"fault {len(ledger.subjects)}", check.failing)
                 totals.append((check.name, F.sum(F.when(own, n))))
                 continue
             subject = f"key {check.key}"
-            keyed = lambda at, slot, key=check.key: _line(at, slot, F.col(key).cast("string"))
-            own, n = note(table, subject, keyed)
+            own, n = note(keys, table, subject, F.col(check.key))
             if isinstance(check, UniqueCheck):
                 once = F.when(F.col("key").isNotNull() & (n > 0), 1).otherwise(0)
                 totals.append((check.name, F.sum(F.when(own, n - once))))
             else:
-                _, parents = note(check.parent, subject, keyed)
+                _, parents = note(keys, check.parent, subject, F.col(check.key))
                 totals.append((check.name, F.sum(F.when(own & (F.col("key").isNull() | (parents == 0)), n))))
 
+    def numbered(entries: Mapping[tuple[int, int], Column]) -> dict[int, Column]:
+        return {at * ledger.width + slot: entry for (at, slot), entry in entries.items()}
+
     entered = reduce(DataFrame.unionByName, [
-        tables[table].select(F.inline(F.array_compact(F.array(*wanted.values())))) for table, wanted in lines.items()])
-    counted = entered.groupBy("subject", "key").agg(*[F.count_if(F.col("slot") == i).alias(f"n{i}") for i in range(ledger.width)])
+        _lines(tables[t], numbered(keys.get(t, {})), numbered(faults.get(t, {}))) for t in dict.fromkeys([*keys, *faults])])
+    line = F.col("line").cast("int")
+    placed = entered.select(F.floor(line / ledger.width).cast("int").alias("subject"), (line % ledger.width).alias("slot"), "key")
+    counted = placed.groupBy("subject", "key").agg(*[F.count_if(F.col("slot") == i).alias(f"n{i}") for i in range(ledger.width)])
     answers = counted.agg(*[F.coalesce(t, F.lit(0)).cast("bigint").alias(f"c{i}") for i, (_, t) in enumerate(totals)])
     rows = F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(f"c{i}").alias("failing_rows")) for i, (name, _) in enumerate(totals)])
     return with_verdict(answers.select(F.inline(rows)))

@@ -82,6 +82,20 @@ def test_ledger_of_keys(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Scan ExistingRDD") == 2 and "Join" not in plan
 
 
+def test_ledger_lines_come_from_unpivoted_rows(spark):
+    """No array is built per row; empty texts are keys like others, NULL ones count, and a row may have several faults."""
+    rows = [("", 1), ("", 2), (None, 3), (None, None), ("a", 9), ("b", 9)]
+    tables = {"t": spark.createDataFrame(rows, "k string, n int"), "u": spark.createDataFrame([("a",), ("",), (None,)], "k string")}
+    declared = {"t": [q.check_unique("k once", "k"), q.check_fk("has u", "u", "k"), q.check_not_null("n known", "n"),
+                      q.check_not_null("k known", "k"), q.check_predicate("n small", F.col("n") > 2)],
+                "u": [q.check_unique("u: k once", "k")]}
+    checked = q.run_checks(tables, declared)
+    assert {r.check_name: r.failing_rows for r in checked.collect()} == {
+        "k once": 3, "has u": 3, "n known": 1, "k known": 2, "n small": 3, "u: k once": 1}
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" in plan and "array_compact" not in plan and "filter(array" not in plan
+
+
 def test_centred_mean_needs_a_full_window(spark, rows):
     df = spark.createDataFrame([(dt.date(2024, 1, 1 + i), i) for i in range(9)], "d date, n int")
     got = [r[0] for r in rows(r.centred_mean(df, "d", "n", "m").orderBy("d"), "m")]
