@@ -31,8 +31,21 @@ def drop_non_positive(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column) > 0)
 
 
-def keep_if_parent(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Keep children whose parent survives."""
+# Keys of which a copy on every executor and the driver is small: some 100 bytes each while they are looked up.
+FEW_KEYS = 1_000_000
+
+
+def keep_if_parent(child: DataFrame, parent: DataFrame, key: str, few: int = FEW_KEYS) -> DataFrame:
+    """Keep children whose parent survives.
+
+    Children's keys alone are shuffled to meet the parents, of which a task looks up each key once. Where few of the keys have no parent, the children are
+    compared with those where they lie; else the children meet the parents themselves.
+    """
+    keys = child.select(key).where(F.col(key).isNotNull())
+    # Kept, so that there is one answer to how many they are.
+    lost = stored(keys.join(parent.select(key).hint("shuffle_hash"), key, "left_anti").distinct(), "lost")
+    if lost.count() <= few:
+        return child.where(F.col(key).isNotNull()).join(F.broadcast(lost), key, "left_anti")
     return child.join(parent.select(key), key, "left_semi")
 
 

@@ -99,12 +99,12 @@ def order_items(raw_items: DataFrame, clean_products: DataFrame, clean_orders: D
     typed = raw_items.select("order_item_id", "order_id", "product_id", safe_num("quantity", "int").alias("quantity"),
                              safe_num("unit_price", MONEY).alias("_price"),
                              safe_num("discount_pct", "int").alias("discount_pct"))
-    valid = c.drop_non_positive(typed, "quantity").join(clean_products.select("product_id", "list_price"), "product_id")
+    kept = c.keep_if_parent(c.drop_non_positive(typed, "quantity"), clean_orders, "order_id")
+    valid = kept.join(clean_products.select("product_id", "list_price"), "product_id")
     smallest_slip = min(times for times, _ in rules.price_slips)
-    repaired = valid.select("order_item_id", "order_id", "product_id", "quantity", "discount_pct", "list_price",
-                            c.repair_magnitude("_price", "list_price", rules.price_slips).alias("unit_price"),
-                            c.above_reference("_price", "list_price", smallest_slip).alias("price_corrected"))
-    return c.keep_if_parent(repaired, clean_orders, "order_id").select(*repaired.columns)
+    return valid.select("order_item_id", "order_id", "product_id", "quantity", "discount_pct", "list_price",
+                        c.repair_magnitude("_price", "list_price", rules.price_slips).alias("unit_price"),
+                        c.above_reference("_price", "list_price", smallest_slip).alias("price_corrected"))
 
 
 def returns(raw_returns: DataFrame, clean_items: DataFrame) -> DataFrame:

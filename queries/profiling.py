@@ -18,8 +18,11 @@ RAW = tuple(messy.TABLES)
 
 
 def keep_once(name, df):
-    """Clean tables are read by many checks, so each is evaluated once. The city list is in the plan as it is."""
-    return df if name == "city_map" else stored(df, name)
+    """Clean tables are read by many checks, so each is evaluated once. The city list is in the plan as it is.
+
+    They are most of what is written, and zstd makes them smaller than Spark's default does.
+    """
+    return df if name == "city_map" else stored(df, name, compression="zstd")
 
 
 def _count(table, name, expr, source):

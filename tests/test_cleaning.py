@@ -3,12 +3,14 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketloom import lookups
 from marketloom.operators import cleaning as c
 from marketloom.plans import clean_layer as layer
 from marketloom.rules import Rules
+from marketloom.session import stored
 
 CUSTOMERS = "customer_id string, email string, signup_date string, city string, acquisition_channel string, device_type string"
 ORDERS = ("order_id string, customer_id string, order_datetime string, shipping_city string, payment_method string, "
@@ -144,3 +146,20 @@ def test_flag_before_ignores_the_session_time_zone(spark, rows):
         assert rows(df.select(c.flag_before("at", Rules().legacy_until))) == [(True,), (False,), (False,)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("few", [c.FEW_KEYS, 2, 1, 0])
+def test_children_stay_where_they_lie_if_few_keys_lack_a_parent(spark, rows, few):
+    """Two keys lack a parent: up to there only keys are shuffled, beyond it the rows are, with the same result."""
+    kids = [(1, "a"), (2, "a"), (3, "x"), (4, "x"), (5, "y"), (6, None), (7, ""), (8, "b"), (8, "b")]
+    child = spark.createDataFrame(kids, "id int, k string")
+    parent = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("", 4), (None, 5), ("z", 6)], "k string, n int")
+    kept = c.keep_if_parent(child, parent, "k", few)
+    assert sorted(rows(kept, "id", "k")) == [(1, "a"), (2, "a"), (7, ""), (8, "b"), (8, "b")]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert ("LeftAnti" in plan) == (few >= 2) and ("LeftSemi" in plan) == (few < 2)
+    assert rows(c.keep_if_parent(child, parent.limit(0), "k", few)) == [] and rows(c.keep_if_parent(child.limit(0), parent, "k", few)) == []
+
+
+def test_stored_passes_options_to_the_writer(spark):
+    assert all(f.endswith(".zstd.parquet") for f in stored(spark.range(9), "options", compression="zstd").inputFiles())
