@@ -30,6 +30,8 @@ SHARD, DEGREE, BUILD_BEAM, ALPHA, BEAM = 8192, 32, 64, 1.5, 128
 BATCH, QUERY_BLOCK = 512, 1024
 #: Nodes that searches start from, spread over a shard.
 STARTS = 16
+#: A stored row of some megabytes is a page of its own; else Parquet looks at a page's size after a hundred rows only.
+ROW_PAGES = {"parquet.page.size.row.check.min": "1"}
 
 
 def beam_search(unit: np.ndarray, edges: np.ndarray, starts: np.ndarray, queries: np.ndarray, beam: int
@@ -208,14 +210,15 @@ def nearest(vectors: DataFrame, *, k: int = 5, every: int = 50, shard: int = SHA
     usual = nodes.groupBy(F.size("vector").alias("dims")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dims").first()
     dims, count = (usual["dims"], usual["n"]) if usual else (0, 0)
     index = stored(graphs(nodes.where(F.size("vector") == dims), count, dims, shard=shard, degree=degree, beam=build_beam,
-                          alpha=alpha), "graphs")
+                          alpha=alpha), "graphs", **ROW_PAGES)
     queries = stored(rows.where((F.col("vec_id") % every == 0) & (F.size("vector") == dims)).distinct(), "queries")
     blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
-    shards = max(1, math.ceil(count / shard))
-    blocked = (queries.groupBy(F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).alias("block"))
-               .agg(F.collect_list("vec_id").alias("query_ids"), F.flatten(F.collect_list("vector")).alias("query_vectors"))
-               .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
-    met = blocked.join(index, "shard").drop("shard", "block")
+    blocked = stored(queries.groupBy(F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).alias("block"))
+                     .agg(F.collect_list("vec_id").alias("query_ids"), F.flatten(F.collect_list("vector")).alias("query_vectors")), "blocks",
+                     **ROW_PAGES)
+    # Tasks read a part of the shards and a part of the blocks where they are stored. Blocks exploded over the shards look
+    # as small to the optimizer as one of them, and would be broadcast through the driver, times the number of shards.
+    met = index.drop("shard").hint("shuffle_replicate_nl").crossJoin(blocked.drop("block"))
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

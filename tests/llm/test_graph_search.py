@@ -62,6 +62,18 @@ def test_many_shards_and_copies(spark):
     assert [i for i, _ in got[1000]] == [1001, 1002, 1003, 1004, 1005] and [i for i, _ in got[1050]] == [1000, 1001, 1002, 1003, 1004]
 
 
+def test_blocks_meet_shards_where_they_lie(spark, monkeypatch):
+    monkeypatch.setattr(graph_search, "QUERY_BLOCK", 10)
+    draw = np.random.default_rng(1)
+    rows = [(i, [float(a) for a in v]) for i, v in enumerate(draw.normal(size=(800, 8)))]
+    found = graph_search.nearest(spark.createDataFrame(rows, SHAPE), every=4, shard=40)
+    got, want = collected(found), brute(rows, every=4)
+    assert got.keys() == want.keys() and all(len(v) == 5 for v in got.values())
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.97 * 5 * len(want)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Broadcast", "Generate"))  # no copy of a block for each shard, in the driver or in a shuffle
+
+
 def test_small_cases(spark):
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [1.0, None]),
             (7, [float("nan"), 1.0]), (8, [float("inf"), 1.0]), (None, [1.0, 1.0]), (9, [1.0, 1.0, 1.0]), (100, [1e300, 1e300]),
